@@ -8,10 +8,9 @@ defects, so that the contract has something to refuse.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from tidewatch.functions.json_events import event_json
 from tidewatch.functions.timebuckets import cutoff
@@ -72,7 +71,8 @@ def hourly(spark: SparkSession, sf_dir: str, hours: int | None = None) -> DataFr
     """The rollup, with `hours` only as far back as a window of that length needs."""
     if hours is None:
         return hourly_partials(raw(spark, sf_dir))
-    start = cutoff(as_of(spark, sf_dir), hours)
+    # The whole bound is the subquery, so its value reaches the parquet scan.
+    start = events(spark, sf_dir).agg(cutoff(F.max("ts"), hours)).scalar()
     return hourly_rollup(raw(spark, sf_dir, start), start.cast("timestamp"))
 
 

@@ -42,9 +42,14 @@ def read_options(
     topic: str = DEFAULT_TOPIC,
     group: str | None = None,
     max_offsets: int | None = None,
+    min_partitions: int | None = None,
     **credentials,
 ) -> dict[str, str]:
-    """Options of a Kafka read from the earliest offset; `max_offsets` bounds a micro-batch."""
+    """Options of a Kafka read from the earliest offset.
+
+    `max_offsets` bounds a micro-batch. `min_partitions` splits the offset
+    ranges of few or uneven topic partitions over that many tasks.
+    """
     options = broker_options(brokers, **credentials) | {
         "subscribe": required_name("topic", topic),
         "startingOffsets": "earliest",
@@ -53,6 +58,8 @@ def read_options(
         options["groupIdPrefix"] = group
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
