@@ -67,13 +67,22 @@ def raw(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFr
     return _mapped(rows).withColumn("payload", _text()).select(*EVENT_COLUMNS, "partition", "offset")
 
 
-def hourly(spark: SparkSession, sf_dir: str, hours: int | None = None) -> DataFrame:
-    """The rollup, with `hours` only as far back as a window of that length needs."""
-    if hours is None:
-        return hourly_partials(raw(spark, sf_dir))
-    # The whole bound is the subquery, so its value reaches the parquet scan.
+def window(spark: SparkSession, sf_dir: str, hours: int) -> tuple[Column, Column]:
+    """Start and end of the last `hours` of the table.
+
+    Both come from one subquery whose value is the start itself: compared
+    with `ts` it reaches the parquet scan, which an expression over a
+    subquery, or two subqueries merged into one, would not.
+    """
     start = events(spark, sf_dir).agg(cutoff(F.max("ts"), hours)).scalar()
-    return hourly_rollup(raw(spark, sf_dir, start), start.cast("timestamp"))
+    return start, (start + F.make_dt_interval(hours=F.lit(hours))).cast("timestamp")
+
+
+def hourly(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
+    """The rollup, all of it or the hours that start at or after `since`."""
+    if since is None:
+        return hourly_partials(raw(spark, sf_dir))
+    return hourly_rollup(raw(spark, sf_dir, since), since.cast("timestamp"))
 
 
 def timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:

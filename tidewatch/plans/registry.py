@@ -329,12 +329,14 @@ _TOP_REPO = f"(SELECT repo_name FROM ({_TRENDING}) AS t ORDER BY count DESC, rep
 
 @query("trending_repos", _TRENDING)
 def trending_repos(spark, sf_dir):
-    return activity.trending_repos(dt.hourly(spark, sf_dir, 24), _now(spark, sf_dir), 24, 10)
+    start, as_of = dt.window(spark, sf_dir, 24)
+    return activity.trending_repos(dt.hourly(spark, sf_dir, start), as_of, 24, 10)
 
 
 @query("event_breakdown", _BREAKDOWN)
 def event_breakdown(spark, sf_dir):
-    return activity.event_breakdown(dt.hourly(spark, sf_dir, 24), _now(spark, sf_dir), 24)
+    start, as_of = dt.window(spark, sf_dir, 24)
+    return activity.event_breakdown(dt.hourly(spark, sf_dir, start), as_of, 24)
 
 
 @query("breakdown_share", f"SELECT *, {_SHARE} FROM ({_BREAKDOWN}) AS b")
@@ -407,16 +409,16 @@ def event_trend(spark, sf_dir):
 
 @query("top_repo_contributors", _CONTRIBUTORS.format(repo=_TOP_REPO))
 def top_repo_contributors(spark, sf_dir):
-    return activity.top_repo_contributors(
-        dt.raw(spark, sf_dir), dt.hourly(spark, sf_dir, 24), _now(spark, sf_dir), 24, 10
-    )
+    start, as_of = dt.window(spark, sf_dir, 24)
+    hourly = dt.hourly(spark, sf_dir, start)
+    return activity.top_repo_contributors(dt.raw(spark, sf_dir), hourly, as_of, 24, 10)
 
 
 @query("top_repo_recent", _RECENT.format(where=f"WHERE repo_name = {_TOP_REPO}", limit=10))
 def top_repo_recent(spark, sf_dir):
-    return activity.top_repo_recent(
-        dt.raw(spark, sf_dir), dt.hourly(spark, sf_dir, 24), _now(spark, sf_dir), 24, 10
-    )
+    start, as_of = dt.window(spark, sf_dir, 24)
+    hourly = dt.hourly(spark, sf_dir, start)
+    return activity.top_repo_recent(dt.raw(spark, sf_dir), hourly, as_of, 24, 10)
 
 
 @query(
@@ -427,9 +429,8 @@ def top_repo_recent(spark, sf_dir):
     UNION ALL SELECT 'feed', id, NULL, NULL FROM ({_RECENT.format(where=f"WHERE repo_name = {_TOP_REPO}", limit=10)}) AS f""",
 )
 def dashboard_top_repo(spark, sf_dir):
-    return dashboard(
-        dt.raw(spark, sf_dir), dt.hourly(spark, sf_dir, 24), _now(spark, sf_dir), 24, 10
-    ).as_rows()
+    start, as_of = dt.window(spark, sf_dir, 24)
+    return dashboard(dt.raw(spark, sf_dir), dt.hourly(spark, sf_dir, start), as_of, 24, 10).as_rows()
 
 
 # Audits
