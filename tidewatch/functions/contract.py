@@ -61,23 +61,25 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
         ((F.size("_doc") == 2) & (seal == F.xxhash64(F.col(value)))).alias("_whole"),
         *[event[key].alias(f"_{key}") for _, key, _, _ in FIELDS],
     )
-    kinds = {f"_{key}_kind": F.schema_of_variant(F.col(f"_{key}")) for _, key, _, _ in FIELDS}
-    for _, key, inner, _ in FIELDS:
-        if inner:
-            leaf = F.try_variant_get(F.col(f"_{key}"), f"$.{inner}", "variant")
-            kinds[f"_{key}_{inner}_kind"] = F.schema_of_variant(leaf)
-    typed = fields.withColumns(kinds)
+    # Each field's own value: top-level, or inside its object.
+    leaves = {
+        f"_{key}": F.try_variant_get(F.col(f"_{key}"), f"$.{inner}", "variant") if inner else F.col(f"_{key}")
+        for _, key, inner, _ in FIELDS
+    }
+    typed = fields.withColumns(
+        {f"{name}_kind": F.schema_of_variant(leaf) for name, leaf in leaves.items()}
+    )
 
     mistyped = ~F.coalesce("_whole", F.lit(False))
     texts = []
     for _, key, inner, name in FIELDS:
-        kind = F.col(f"_{key}_{inner}_kind" if inner else f"_{key}_kind")
+        kind = F.col(f"_{key}_kind")
         mistyped = mistyped | ~F.coalesce(kind, F.lit("VOID")).isin("STRING", "VOID")
         if inner:
-            outer = F.coalesce(F.col(f"_{key}_kind"), F.lit("VOID"))
-            mistyped = mistyped | ~((outer == "VOID") | outer.startswith("OBJECT"))
-        path = f"$.{inner}" if inner else "$"
-        text = F.try_variant_get(F.col(f"_{key}"), path, "string")
+            # With a leaf there is an object around it; only without one is its kind looked at.
+            outer = F.coalesce(F.schema_of_variant(F.col(f"_{key}")), F.lit("VOID"))
+            mistyped = mistyped | (kind.isNull() & (outer != "VOID") & ~outer.startswith("OBJECT"))
+        text = F.try_variant_get(F.col(f"_{key}"), f"$.{inner}" if inner else "$", "string")
         texts.append(F.when(kind == "STRING", text).alias(name))
     checked = typed.select(*messages.columns, mistyped.alias("_broken"), *texts).withColumn(
         "created_at", parse_rfc3339(F.col("created_text"))

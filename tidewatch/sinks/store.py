@@ -46,6 +46,9 @@ class TableStore:
     def batch_path(self, table: str, stream_id: str, batch_id: int) -> str:
         return f"{self.path(table)}/stream_id={check_stream_id(stream_id)}/batch_id={batch_id}"
 
+    def staging_path(self, stream_id: str) -> str:
+        return f"{self.root.rstrip('/')}/staging/stream_id={check_stream_id(stream_id)}"
+
     def ensure(self, spark: SparkSession) -> None:
         """Create the tables that do not exist yet."""
         for table, schema in TABLE_SCHEMAS.items():

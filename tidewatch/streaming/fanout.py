@@ -1,9 +1,8 @@
 """The storage job: each micro-batch to raw events, hourly partials, time series, dead letters.
 
-Order inside a batch: dead letters, raw, then analytics. Raw is written
-first and read back, so both analytics tables are made from exactly the rows
-that were newly stored, without keeping the batch in memory and without
-computing it twice. The checkpoint moves on only when all writes are done or
+A batch is parsed once into a staging folder. Then come dead letters, raw,
+and analytics, in this order. Raw is read back for the analytics tables, so
+both are made from exactly the rows that were newly stored. The checkpoint moves on only when all writes are done or
 the batch is in the dead letters; since each write replaces the batch's own
 partition, a batch that runs again leaves the same tables.
 
@@ -19,7 +18,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from tidewatch.functions.contract import parse_events, rejected_messages, valid_events
 from tidewatch.operators.events import insert_if_absent, keep_first
@@ -35,6 +33,10 @@ BROADCAST_ID_BYTES = 64 << 20
 # What an id costs in a broadcast table beyond its own bytes.
 ID_OVERHEAD_BYTES = 64
 
+STAGED_COLUMNS = (
+    *("key", "value", "topic", "partition", "offset"),
+    *("id", "type", "repo_name", "actor_name", "created_at", "reason"),
+)
 DEAD_LETTER_COLUMNS = ("key", "value", "topic", "partition", "offset", "reason", "stage")
 
 
@@ -75,31 +77,40 @@ class FanOut:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
-        parsed = parse_events(messages).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = self._stage(messages)
+        stats = self._stats(parsed)
+        malformed = rejected_messages(parsed).select(*DEAD_LETTER_COLUMNS)
+        self._write(malformed, "dead_letters", batch_id)
+        failed = stats.rows - stats.valid
         try:
-            stats = self._stats(parsed)
-            malformed = rejected_messages(parsed).select(*DEAD_LETTER_COLUMNS)
-            self._write(malformed, "dead_letters", batch_id)
-            failed = stats.rows - stats.valid
-            try:
-                with_retry(
-                    lambda: self._store_batch(parsed, stats, batch_id),
-                    self.delays,
-                    self.sleep,
-                    lambda failure: self.metrics.add("processor_retries_total"),
-                )
-                self.metrics.add("events_processed_total", stats.valid)
-            except RetriesExhausted as failure:
-                self._write(malformed.unionByName(self._exhausted(parsed, failure)), "dead_letters", batch_id)
-                failed = stats.rows
-                self.metrics.add("events_processed_total", 0)
-            self.metrics.add("events_failed_total", failed)
-            self.metrics.set("dlq_depth", self.metrics.counters[("events_failed_total", "")])
-            self.metrics.observe("processing_duration_seconds", time.monotonic() - started)
-            if self.record_samples:
-                self._write(self.metrics.samples(messages.sparkSession), "metric_samples", batch_id)
-        finally:
-            parsed.unpersist()
+            with_retry(
+                lambda: self._store_batch(parsed, stats, batch_id),
+                self.delays,
+                self.sleep,
+                lambda failure: self.metrics.add("processor_retries_total"),
+            )
+            self.metrics.add("events_processed_total", stats.valid)
+        except RetriesExhausted as failure:
+            self._write(malformed.unionByName(self._exhausted(parsed, failure)), "dead_letters", batch_id)
+            failed = stats.rows
+            self.metrics.add("events_processed_total", 0)
+        self.metrics.add("events_failed_total", failed)
+        self.metrics.set("dlq_depth", self.metrics.counters[("events_failed_total", "")])
+        self.metrics.observe("processing_duration_seconds", time.monotonic() - started)
+        if self.record_samples:
+            self._write(self.metrics.samples(messages.sparkSession), "metric_samples", batch_id)
+
+    def _stage(self, messages: DataFrame) -> DataFrame:
+        """The parsed batch, written to the store's staging folder and read back.
+
+        Every later step reads just the columns it needs from there. Nothing
+        is parsed or fetched from the topic twice, no executor has to keep
+        the batch, and the next batch takes the folder over.
+        """
+        parsed = parse_events(messages).select(*STAGED_COLUMNS)
+        path = self.store.staging_path(self.stream_id)
+        parsed.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return messages.sparkSession.read.schema(parsed.schema).parquet(path)
 
     def _stats(self, parsed: DataFrame) -> BatchStats:
         valid = F.col("reason").isNull()
