@@ -1,6 +1,8 @@
 import glob
 import os
 import random
+import shutil
+import time
 from datetime import timedelta
 
 import pytest
@@ -11,11 +13,12 @@ from pyspark.sql import functions as F
 from tidewatch.functions.contract import parse_events, valid_events
 from tidewatch.operators.activity import event_breakdown, trending_repos
 from tidewatch.operators.events import keep_first
-from tidewatch.operators.rollup import compact_hourly, hourly_partials
-from tidewatch.sinks.store import TABLE_SORT, TableStore, closed_batches, write_for_reading
+from tidewatch.operators.rollup import hourly_partials
+from tidewatch.sinks.store import TableStore, archive_batches
 from tidewatch.sources.topic import stream_topic_files
 from tidewatch.streaming import fanout
 from tidewatch.streaming.fanout import FanOut, start_fan_out
+from tidewatch.streaming.monitor import JobMetrics, ProgressListener
 
 NO_WAIT = {"delays": (), "sleep": lambda seconds: None}
 
@@ -204,6 +207,22 @@ def test_batch_metrics_are_stored(spark, place):
     assert values[("raw_write_duration_seconds_bucket", "+Inf")] == 1
 
 
+def test_listener_counts_the_rows_of_each_batch(spark, place):
+    land(spark, place, [raw_json("1"), raw_json("2")])
+    metrics = JobMetrics()
+    listener = ProgressListener(metrics)
+    spark.streams.addListener(listener)
+    try:
+        run(spark, place)
+        deadline = time.time() + 20
+        while ("input_rows_total", "") not in metrics.counters and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert metrics.counters[("input_rows_total", "")] == 2
+    assert metrics.counters[("batch_duration_seconds_count", "")] >= 1
+
+
 def test_queries_on_stored_tables(spark, place):
     rows = [("1", "PushEvent", "top/r"), ("2", "PushEvent", "top/r"), ("3", "IssuesEvent", "next/r")]
     land(spark, place, [raw_json(i, t, r, "x", "2026-05-08T15:00:00Z") for i, t, r in rows])
@@ -226,18 +245,35 @@ def test_ensure_is_repeatable_and_keeps_rows(spark, place):
         store.path("other")
 
 
-def test_compaction_of_closed_batches(spark, place):
+def test_archived_batches_read_the_same_and_still_block_their_ids(spark, place, tmp_path):
     shuffled_topic(spark, place)
     store = run(spark, place, max_files=1)
-    hourly = store.read(spark, "events_hourly")
-    closed = closed_batches(hourly, "s1", 3)
-    compacted = compact_hourly(closed)
-    target = place["tables"] + "/hourly_v2"
-    write_for_reading(compacted, "events_hourly", target)
-    back = spark.read.parquet(target)
-    assert back.agg(F.sum("count")).first()[0] == closed.agg(F.sum("count")).first()[0]
-    assert back.count() == back.select("hour", "repo_name", "event_type").distinct().count()
-    assert "dt" in back.columns and TABLE_SORT["events_hourly"][0] == "hour"
-    open_part = hourly.filter("batch_id >= 3").select("hour", "repo_name", "event_type", "count")
-    both = back.select(*open_part.columns).unionByName(open_part)
-    assert both.agg(F.sum("count")).first()[0] == 60
+    before = contents(spark, store)
+    with pytest.raises(ValueError, match="no closed batches"):
+        archive_batches(spark, store, "s1", 0, str(tmp_path / "none"))
+    once = archive_batches(spark, store, "s1", 2, str(tmp_path / "v1"))
+    twice = archive_batches(spark, once, "s1", 3, str(tmp_path / "v2"))
+    assert [(a.first_batch, a.end_batch) for a in twice.archives] == [(0, 2), (2, 3)]
+    assert contents(spark, once) == contents(spark, twice) == before
+    compacted = spark.read.parquet(str(tmp_path / "v1" / "events_hourly"))
+    assert compacted.count() == compacted.select("hour", "repo_name", "event_type").distinct().count()
+
+    # The live copies of archived batches are not needed any more.
+    shutil.rmtree(f"{place['tables']}/raw_events/stream_id=s1/batch_id=0")
+    assert contents(spark, twice) == before
+    values = [row[4] for row in before["raw"]]
+    land(spark, place, [*values, raw_json("new")], partition=9)
+    after = contents(spark, run(spark, place, FanOut(twice, "s1", **NO_WAIT)))
+    assert [row[0] for row in after["raw"]] == [*[row[0] for row in before["raw"]], "new"]
+
+
+def test_tables_by_name_in_a_catalog(spark, place):
+    land(spark, place, [raw_json("1")])
+    store = run(spark, place)
+    try:
+        store.ensure_catalog(spark, "activity_test")
+        store.ensure_catalog(spark, "activity_test")
+        spark.sql("MSCK REPAIR TABLE activity_test.raw_events")
+        assert tuples(spark.sql("SELECT id, repo_name FROM activity_test.raw_events")) == [("1", "owner/repo")]
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS activity_test CASCADE")

@@ -11,10 +11,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.schemas import TABLE_SCHEMAS, TABLE_SORT
+from tidewatch.operators.rollup import compact_hourly
+from tidewatch.schemas import BATCH_COLUMNS, TABLE_SCHEMAS, TABLE_SORT
 
 _STREAM_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
@@ -26,17 +27,45 @@ DAY_SOURCE = {
 }
 
 
+def _batch_schema(table: str) -> str:
+    """A table's columns without the batch partition."""
+    columns = TABLE_SCHEMAS[table].rsplit(f", {BATCH_COLUMNS}", 1)[0]
+    return f"{columns}, dt DATE" if table in DAY_SOURCE else columns
+
+
 def check_stream_id(stream_id: str) -> str:
     if not _STREAM_ID.fullmatch(stream_id):
         raise ValueError("invalid stream_id")
     return stream_id
 
 
+@dataclass(frozen=True)
+class Archive:
+    """Batches first_batch … end_batch − 1 of a stream, rewritten for reading below `root`."""
+
+    root: str
+    stream_id: str
+    first_batch: int
+    end_batch: int
+
+    def holds(self) -> Column:
+        """Whether a row of a live table is in this archive."""
+        return (F.col("stream_id") == self.stream_id) & F.col("batch_id").between(
+            self.first_batch, self.end_batch - 1
+        )
+
+
 @dataclass(frozen=True)
 class TableStore:
-    """The five tables below `root`, a folder every executor can reach."""
+    """The five tables below `root`, a folder every executor can reach.
+
+    Small batches leave many small files. `archives` name closed batches that
+    were rewritten in large ones: reads take those rows from the archive and
+    leave out the batches themselves, which may then be removed.
+    """
 
     root: str
+    archives: tuple[Archive, ...] = ()
 
     def path(self, table: str) -> str:
         if table not in TABLE_SCHEMAS:
@@ -67,15 +96,24 @@ class TableStore:
             )
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """A stored table, empty before the first batch."""
-        return spark.read.schema(TABLE_SCHEMAS[table]).parquet(self.path(table))
+        """A stored table, empty before the first batch. Archived rows have no `batch_id`."""
+        rows = spark.read.schema(TABLE_SCHEMAS[table]).parquet(self.path(table))
+        if table not in DAY_SOURCE:
+            return rows
+        for archive in self.archives:
+            rows = rows.filter(~archive.holds())
+        for archive in self.archives:
+            archived = (
+                spark.read.schema(_batch_schema(table))
+                .parquet(f"{archive.root}/{table}")
+                .withColumns({"stream_id": F.lit(archive.stream_id), "batch_id": F.lit(None).cast("long")})
+            )
+            rows = rows.unionByName(archived)
+        return rows
 
     def read_batch(self, spark: SparkSession, table: str, stream_id: str, batch_id: int) -> DataFrame:
         """One batch's partition, read without listing the rest of the table."""
-        schema = TABLE_SCHEMAS[table].rsplit(", stream_id", 1)[0]
-        if table in DAY_SOURCE:
-            schema += ", dt DATE"
-        return spark.read.schema(schema).parquet(self.batch_path(table, stream_id, batch_id))
+        return spark.read.schema(_batch_schema(table)).parquet(self.batch_path(table, stream_id, batch_id))
 
     def write_batch(self, rows: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
         """Replace one batch's partition, rows sorted for the reads the table serves."""
@@ -109,6 +147,23 @@ def write_for_reading(rows: DataFrame, table: str, path: str) -> None:
     writer.parquet(path)
 
 
-def closed_batches(table: DataFrame, stream_id: str, last_committed: int) -> DataFrame:
-    """The batches of a stream that no restart can replay: all before the last committed one."""
-    return table.filter((F.col("stream_id") == stream_id) & (F.col("batch_id") < last_committed))
+def archive_batches(
+    spark: SparkSession, store: TableStore, stream_id: str, last_committed: int, root: str
+) -> TableStore:
+    """Rewrite a stream's closed batches below `root`; returns the store that reads them there.
+
+    Only batches before the last committed one are taken: no restart can run
+    them again. Rollup rows with equal keys are summed. Nothing in the live
+    tables changes, and a failed run leaves only an unused folder behind.
+    """
+    done = [archive.end_batch for archive in store.archives if archive.stream_id == stream_id]
+    archive = Archive(root.rstrip("/"), check_stream_id(stream_id), max(done, default=0), last_committed)
+    if archive.end_batch <= archive.first_batch:
+        raise ValueError("no closed batches to archive")
+    live = TableStore(store.root)
+    for table in DAY_SOURCE:
+        rows = live.read(spark, table).filter(archive.holds())
+        if table == "events_hourly":
+            rows = compact_hourly(rows)
+        write_for_reading(rows, table, f"{archive.root}/{table}")
+    return TableStore(store.root, (*store.archives, archive))

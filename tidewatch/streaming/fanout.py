@@ -136,7 +136,7 @@ class FanOut:
         as ids grow with time.
         """
         stored = self.store.read(parsed.sparkSession, "raw_events").filter(
-            ~((F.col("stream_id") == self.stream_id) & (F.col("batch_id") == batch_id))
+            ~((F.col("stream_id") == self.stream_id) & F.col("batch_id").eqNullSafe(batch_id))
         )
         stored = stored.filter(F.col("id").between(F.lit(stats.min_id), F.lit(stats.max_id)))
         if self.same_day_ids:
