@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from conftest import messages, raw_json, tuples, utc
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 from tidewatch.functions.contract import parse_events, valid_events
 from tidewatch.sources import synthetic, topic
 from tidewatch.sources.snapshot import read_lines, read_snapshots, stream_lines, stream_snapshots
-from tidewatch.streaming.ingest import accepted_messages, dedupe_stream, refused_messages, start_publishing
-from tidewatch.streaming.monitor import JobMetrics, source_lag
+from tidewatch.sinks.publish import publish, start_publishing
+from tidewatch.streaming.ingest import accepted_messages, dedupe_stream, refused_messages
+from tidewatch.streaming.monitor import JobMetrics, ProgressListener, source_lag
 
 NOW = utc(2026, 5, 11, 12)
 
@@ -136,6 +138,25 @@ def test_salted_dedupe_of_one_hot_id(spark, tmp_path):
 def test_publishing_needs_one_target(spark):
     with pytest.raises(ValueError):
         start_publishing(None, "cp")
+    with pytest.raises(ValueError):
+        publish(None, kafka={}, path="p")
+
+
+def test_ingest_counts_what_it_published(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    (landed / "a.json").write_text("[" + ",".join([raw_json("1"), raw_json("1"), raw_json("2")]) + "]")
+    metrics = JobMetrics()
+    listener = ProgressListener(metrics)
+    spark.streams.addListener(listener)
+    try:
+        ingest(spark, tmp_path, stream_snapshots(spark, str(landed)))
+        deadline = time.time() + 20
+        while metrics.counters.get(("events_ingested_total", ""), 0) < 2 and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert metrics.counters[("events_ingested_total", "")] == 2
 
 
 def test_source_lag_of_kafka_progress():

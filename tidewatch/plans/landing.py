@@ -14,11 +14,12 @@ from tidewatch.functions.contract import parse_events, valid_events
 from tidewatch.plans import driver_tables as dt
 from tidewatch.schemas import TOPIC_COLUMNS
 from tidewatch.session import working_folder
+from tidewatch.sinks.publish import publish, start_publishing
 from tidewatch.sinks.store import TableStore
 from tidewatch.sources.snapshot import stream_lines
 from tidewatch.sources.topic import stream_topic_files
 from tidewatch.streaming.fanout import FanOut, start_fan_out
-from tidewatch.streaming.ingest import accepted_messages, dedupe_stream, start_publishing
+from tidewatch.streaming.ingest import accepted_messages, dedupe_stream
 
 # Longer than the time the tables span, so no event of theirs is late.
 LATENESS = "366 days"
@@ -27,7 +28,7 @@ _stores: dict[tuple[str, str], TableStore] = {}
 
 
 def _land(spark: SparkSession, sf_dir: str, path: str) -> None:
-    dt.topic(spark, sf_dir).select(*TOPIC_COLUMNS).write.mode("append").parquet(path)
+    publish(dt.topic(spark, sf_dir).select(*TOPIC_COLUMNS), path=path)
 
 
 def stored(spark: SparkSession, sf_dir: str) -> TableStore:

@@ -69,6 +69,8 @@ class FanOut:
     delays: Sequence[float] = RETRY_DELAYS
     sleep: Callable[[float], None] = time.sleep
     metrics: JobMetrics = field(default_factory=JobMetrics)
+    # Also gets each batch's dead letters, e.g. to publish them; a failure holds the progress.
+    on_dead_letters: Callable[[DataFrame, int], None] | None = None
     # Whether each batch writes its metric samples to the store.
     record_samples: bool = True
 
@@ -80,7 +82,7 @@ class FanOut:
         parsed = self._stage(messages)
         stats = self._stats(parsed)
         malformed = rejected_messages(parsed).select(*DEAD_LETTER_COLUMNS)
-        self._write(malformed, "dead_letters", batch_id)
+        self._dead_letter(malformed, batch_id)
         failed = stats.rows - stats.valid
         try:
             with_retry(
@@ -91,7 +93,8 @@ class FanOut:
             )
             self.metrics.add("events_processed_total", stats.valid)
         except RetriesExhausted as failure:
-            self._write(malformed.unionByName(self._exhausted(parsed, failure)), "dead_letters", batch_id)
+            exhausted = self._exhausted(parsed, failure)
+            self._dead_letter(exhausted, batch_id, malformed)
             failed = stats.rows
             self.metrics.add("events_processed_total", 0)
         self.metrics.add("events_failed_total", failed)
@@ -178,6 +181,13 @@ class FanOut:
             .select(*DEAD_LETTER_COLUMNS)
         )
 
+    def _dead_letter(self, refused: DataFrame, batch_id: int, before: DataFrame | None = None) -> None:
+        """Store the batch's dead letters, those from `before` included, and pass on the new ones."""
+        everything = refused if before is None else before.unionByName(refused)
+        self._write(everything, "dead_letters", batch_id)
+        if self.on_dead_letters is not None:
+            self.on_dead_letters(refused, batch_id)
+
     def _write(self, rows: DataFrame, table: str, batch_id: int) -> None:
         self.store.write_batch(rows, table, self.stream_id, batch_id)
 

@@ -6,11 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions.contract import parse_events, rejected_messages, valid_events
 from tidewatch.operators.events import filter_allowed, publish_keyed
-from tidewatch.schemas import ALLOWED_TYPES, POLL_INTERVAL
+from tidewatch.schemas import ALLOWED_TYPES
 
 
 def dedupe_stream(events: DataFrame, lateness: str, salt_buckets: int = 16) -> DataFrame:
@@ -40,29 +39,12 @@ def accepted_events(
 
 
 def accepted_messages(landed: DataFrame, lateness: str, **options) -> DataFrame:
-    """Topic records of the accepted events."""
-    return publish_keyed(accepted_events(landed, lateness, **options))
+    """Topic records of the accepted events, counted in each batch's progress."""
+    records = publish_keyed(accepted_events(landed, lateness, **options))
+    return records.observe("ingest", F.count(F.lit(1)).alias("events_ingested_total"))
 
 
 def refused_messages(landed: DataFrame) -> DataFrame:
     """Landed texts the contract refuses, for a dead-letter query of their own."""
-    return rejected_messages(parse_events(landed), stage="ingest").select("value", "reason", "stage")
-
-
-def start_publishing(
-    messages: DataFrame,
-    checkpoint: str,
-    kafka: dict[str, str] | None = None,
-    path: str | None = None,
-    available_now: bool = False,
-    interval: str = POLL_INTERVAL,
-) -> StreamingQuery:
-    """Write topic records to Kafka (`kafka` options) or to files at `path`."""
-    if (kafka is None) == (path is None):
-        raise ValueError("give kafka options or a path")
-    writer = messages.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    writer = writer.trigger(**trigger)
-    if kafka is not None:
-        return writer.format("kafka").options(**kafka).start()
-    return writer.format("parquet").option("path", path).start()
+    refused = rejected_messages(parse_events(landed), stage="ingest").select("value", "reason", "stage")
+    return refused.observe("ingest_refused", F.count(F.lit(1)).alias("events_refused_total"))

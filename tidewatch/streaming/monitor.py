@@ -72,7 +72,7 @@ def source_lag(start_or_end: str | dict | None, latest: str | dict | None) -> in
 
 
 class ProgressListener(StreamingQueryListener):
-    """Copies input rows, batch duration and source lag of a job's progress into its metrics."""
+    """Copies a job's progress into its metrics: input rows, observed counts, duration, source lag."""
 
     def __init__(self, metrics: JobMetrics) -> None:
         self.metrics = metrics
@@ -83,6 +83,9 @@ class ProgressListener(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         self.metrics.add("input_rows_total", progress.numInputRows)
+        for observed in progress.observedMetrics.values():
+            for metric, amount in observed.asDict().items():
+                self.metrics.add(metric, amount)
         self.metrics.observe("batch_duration_seconds", progress.batchDuration / 1000)
         lags = [source_lag(source.endOffset, source.latestOffset) for source in progress.sources]
         known = [lag for lag in lags if lag is not None]
