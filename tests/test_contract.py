@@ -1,8 +1,8 @@
 import pytest
-from conftest import messages, raw_json, utc
+from conftest import messages, raw_json, tuples, utc
 from pyspark.sql import functions as F
 
-from tidewatch.functions.contract import parse_events, rejected_messages, valid_events
+from tidewatch.functions.contract import check_events, parse_events, rejected_messages, valid_events
 from tidewatch.functions.timebuckets import cutoff, format_rfc3339, hour_bucket, parse_rfc3339
 
 REST = '"type":"T","repo":{"name":"o/r"},"actor":{"login":"a"},"created_at":"2026-05-05T01:02:03Z"'
@@ -62,6 +62,11 @@ def test_reasons(spark):
     assert got == CASES
 
 
+def test_check_gives_the_same_rows(spark):
+    rows = messages(spark, list(CASES))
+    assert sorted(map(str, tuples(check_events(rows)))) == sorted(map(str, tuples(parse_events(rows))))
+
+
 TIMES = {
     "2026-05-05T01:02:03Z": "2026-05-05T01:02:03Z",
     "2026-05-05T01:02:03+05:30": "2026-05-04T19:32:03Z",

@@ -135,11 +135,11 @@ class Broken(FanOut):
 
     broken: dict
 
-    def _write(self, rows, table, batch_id):
+    def _write(self, rows, table, batch_id, *options):
         if self.broken.get(table, 0) > 0:
             self.broken[table] -= 1
             raise OSError(f"{table} is down")
-        super()._write(rows, table, batch_id)
+        super()._write(rows, table, batch_id, *options)
 
 
 def broken(place, tables, delays=()):
@@ -153,10 +153,10 @@ def test_crash_between_raw_and_hourly_then_restart(spark, place):
     job = broken(place, {"events_hourly": 1})
     original = job._write
 
-    def dead_letters_down(rows, table, batch_id):
+    def dead_letters_down(rows, table, batch_id, *options):
         if table == "dead_letters" and job.broken["events_hourly"] == 0:
             raise OSError("dead letters are down")
-        original(rows, table, batch_id)
+        original(rows, table, batch_id, *options)
 
     job._write = dead_letters_down
     with pytest.raises(StreamingQueryException):

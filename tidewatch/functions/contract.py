@@ -20,10 +20,14 @@ FIELDS = (
     ("created_at", "created_at", None, "created_text"),
 )
 
+PARSED_COLUMNS = ("id", "type", "repo_name", "actor_name", "created_at", "reason")
+
 # Only the contract's fields are materialised, everything else in the text is
 # skipped by the JSON reader. VARIANT keeps each field's JSON type, so a
 # number where a string belongs is seen as such and not silently cast.
-_EVENT_FIELDS = ", ".join(f"{key}: variant" for _, key, _, _ in FIELDS)
+_EVENT_FIELDS = ", ".join(
+    f"{key}: struct<{inner}: variant>" if inner else f"{key}: variant" for _, key, inner, _ in FIELDS
+)
 _SEALED_SCHEMA = f"array<struct<{_EVENT_FIELDS}, seal: bigint>>"
 _STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
@@ -47,11 +51,11 @@ def _sealed(value: Column) -> Column:
     )
 
 
-def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Add the event columns and `reason` (NULL for a valid event) to `messages`.
+def check_events(messages: DataFrame, value: str = "value") -> DataFrame:
+    """`parse_events` for rows that are all written as they are.
 
-    Checks run in a fixed order and the first failure is the reason: JSON and
-    field types, required fields, then the timestamp.
+    A filter on the result would be pushed down and parse every text again;
+    where rows are filtered, use `parse_events`.
     """
     doc = messages.withColumn("_doc", _sealed(F.col(value)))
     event = F.try_element_at("_doc", F.lit(1))
@@ -59,15 +63,13 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     fields = doc.select(
         *messages.columns,
         ((F.size("_doc") == 2) & (seal == F.xxhash64(F.col(value)))).alias("_whole"),
-        *[event[key].alias(f"_{key}") for _, key, _, _ in FIELDS],
+        *[
+            (event[key][inner] if inner else event[key]).alias(f"_{key}")
+            for _, key, inner, _ in FIELDS
+        ],
     )
-    # Each field's own value: top-level, or inside its object.
-    leaves = {
-        f"_{key}": F.try_variant_get(F.col(f"_{key}"), f"$.{inner}", "variant") if inner else F.col(f"_{key}")
-        for _, key, inner, _ in FIELDS
-    }
     typed = fields.withColumns(
-        {f"{name}_kind": F.schema_of_variant(leaf) for name, leaf in leaves.items()}
+        {f"_{key}_kind": F.schema_of_variant(F.col(f"_{key}")) for _, key, _, _ in FIELDS}
     )
 
     mistyped = ~F.coalesce("_whole", F.lit(False))
@@ -76,11 +78,14 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
         kind = F.col(f"_{key}_kind")
         mistyped = mistyped | ~F.coalesce(kind, F.lit("VOID")).isin("STRING", "VOID")
         if inner:
-            # With a leaf there is an object around it; only without one is its kind looked at.
-            outer = F.coalesce(F.schema_of_variant(F.col(f"_{key}")), F.lit("VOID"))
-            mistyped = mistyped | (kind.isNull() & (outer != "VOID") & ~outer.startswith("OBJECT"))
-        text = F.try_variant_get(F.col(f"_{key}"), f"$.{inner}" if inner else "$", "string")
-        texts.append(F.when(kind == "STRING", text).alias(name))
+            # Without an inner value the outer one is missing, or no object. Only then is it
+            # looked at: WHEN keeps the second parse from being shared and run for every row.
+            outer = F.schema_of_variant(F.try_variant_get(F.try_parse_json(value), f"$.{key}", "variant"))
+            outer = F.coalesce(outer, F.lit("VOID"))
+            mistyped = mistyped | F.when(
+                kind.isNull(), (outer != "VOID") & ~outer.startswith("OBJECT")
+            ).otherwise(F.lit(False))
+        texts.append(F.when(kind == "STRING", F.col(f"_{key}").try_cast("string")).alias(name))
     checked = typed.select(*messages.columns, mistyped.alias("_broken"), *texts).withColumn(
         "created_at", parse_rfc3339(F.col("created_text"))
     )
@@ -89,10 +94,19 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     for path, _, _, name in FIELDS:
         reason = reason.when(F.coalesce(F.col(name), F.lit("")) == "", missing(path))
     reason = reason.when(F.col("created_at").isNull(), INVALID_CREATED_AT)
-    parsed = F.struct("id", "type", "repo_name", "actor_name", "created_at", reason.alias("reason"))
+    return checked.select(*messages.columns, *PARSED_COLUMNS[:-1], reason.alias("reason"))
+
+
+def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Add the event columns and `reason` (NULL for a valid event) to `messages`.
+
+    Checks run in a fixed order and the first failure is the reason: JSON and
+    field types, required fields, then the timestamp.
+    """
     # The generator ends the parse: a filter on its output is not pushed into
     # it, so every text is parsed once however the result is used.
-    return checked.select(*messages.columns, F.inline(F.array(parsed)))
+    checked = check_events(messages, value)
+    return checked.select(*messages.columns, F.inline(F.array(F.struct(*PARSED_COLUMNS))))
 
 
 def valid_events(parsed: DataFrame, value: str = "value") -> DataFrame:

@@ -19,7 +19,8 @@ def parse_rfc3339(text: Column) -> Column:
     The shape check keeps out date-only and zone-less texts the cast would
     take; the cast rejects impossible dates and times.
     """
-    return F.when(text.rlike(RFC3339_SHAPE), F.try_to_timestamp(F.translate(text, ",", ".")))
+    dotted = F.when(text.contains(","), F.translate(text, ",", ".")).otherwise(text)
+    return F.when(text.rlike(RFC3339_SHAPE), F.try_to_timestamp(dotted))
 
 
 def format_rfc3339(instant: Column) -> Column:

@@ -24,6 +24,9 @@ from tidewatch.streaming.ingest import accepted_messages, dedupe_stream
 # Longer than the time the tables span, so no event of theirs is late.
 LATENESS = "366 days"
 
+# Files per micro-batch, so that a catch-up over a very large topic runs in parts.
+MAX_FILES = 2000
+
 _stores: dict[tuple[str, str], TableStore] = {}
 
 
@@ -39,7 +42,7 @@ def stored(spark: SparkSession, sf_dir: str) -> TableStore:
         store = TableStore(f"{folder}/tables")
         for _ in range(2):
             _land(spark, sf_dir, f"{folder}/topic")
-            messages = stream_topic_files(spark, f"{folder}/topic")
+            messages = stream_topic_files(spark, f"{folder}/topic", MAX_FILES)
             job = FanOut(store, "events")
             start_fan_out(messages, job, f"{folder}/checkpoint", available_now=True).awaitTermination()
         _stores[key] = store
@@ -51,7 +54,7 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "dedupe")
     for _ in range(2):
         _land(spark, sf_dir, f"{folder}/topic")
-    events = valid_events(parse_events(stream_topic_files(spark, f"{folder}/topic")))
+    events = valid_events(parse_events(stream_topic_files(spark, f"{folder}/topic", MAX_FILES)))
     (
         dedupe_stream(events, LATENESS)
         .select("id", "type")
@@ -70,7 +73,7 @@ def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "ingest")
     dt.topic(spark, sf_dir).select("value").write.text(f"{folder}/landed")
     messages = accepted_messages(
-        stream_lines(spark, f"{folder}/landed"), LATENESS, allowed=dt.TABLE_ALLOWED_TYPES
+        stream_lines(spark, f"{folder}/landed", MAX_FILES), LATENESS, allowed=dt.TABLE_ALLOWED_TYPES
     )
     start_publishing(
         messages, f"{folder}/checkpoint", path=f"{folder}/published", available_now=True

@@ -14,12 +14,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.functions.contract import parse_events, rejected_messages, valid_events
+from tidewatch.functions.contract import check_events, rejected_messages, valid_events
 from tidewatch.operators.events import insert_if_absent, keep_first
 from tidewatch.operators.rollup import hourly_partials, timeseries_rows
 from tidewatch.schemas import BATCH_INTERVAL, EVENT_COLUMNS, RETRY_DELAYS
@@ -47,7 +48,12 @@ class BatchStats:
     id_bytes: int
     min_id: str | None
     max_id: str | None
-    days: list
+    first_day: date | None
+    last_day: date | None
+
+    @property
+    def many_days(self) -> bool:
+        return self.valid > 0 and (self.last_day - self.first_day).days > 1
 
     @property
     def ids_fit_broadcast(self) -> bool:
@@ -110,7 +116,7 @@ class FanOut:
         is parsed or fetched from the topic twice, no executor has to keep
         the batch, and the next batch takes the folder over.
         """
-        parsed = parse_events(messages).select(*STAGED_COLUMNS)
+        parsed = check_events(messages).select(*STAGED_COLUMNS)
         path = self.store.staging_path(self.stream_id)
         parsed.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return messages.sparkSession.read.schema(parsed.schema).parquet(path)
@@ -127,7 +133,7 @@ class FanOut:
             F.max(F.when(valid, F.col("created_at").cast("date"))).alias("last_day"),
         ).first()
         return BatchStats(
-            row.rows, row.valid, row.id_bytes, row.min_id, row.max_id, [row.first_day, row.last_day]
+            row.rows, row.valid, row.id_bytes, row.min_id, row.max_id, row.first_day, row.last_day
         )
 
     def _stored_ids(self, parsed: DataFrame, stats: BatchStats, batch_id: int) -> DataFrame:
@@ -143,7 +149,7 @@ class FanOut:
         )
         stored = stored.filter(F.col("id").between(F.lit(stats.min_id), F.lit(stats.max_id)))
         if self.same_day_ids:
-            stored = stored.filter(F.col("dt").between(*[F.lit(day) for day in stats.days]))
+            stored = stored.filter(F.col("dt").between(F.lit(stats.first_day), F.lit(stats.last_day)))
         ids = stored.select("id")
         if stats.ids_fit_broadcast:
             # The batch's ids go to the stored ids instead of shuffling those.
@@ -161,7 +167,7 @@ class FanOut:
         ).select(*EVENT_COLUMNS)
         try:
             new = insert_if_absent(events, self._stored_ids(parsed, stats, batch_id))
-            self._write(new, "raw_events", batch_id)
+            self._write(new, "raw_events", batch_id, stats.many_days)
         finally:
             self.metrics.observe("raw_write_duration_seconds", time.monotonic() - raw_started)
 
@@ -188,8 +194,8 @@ class FanOut:
         if self.on_dead_letters is not None:
             self.on_dead_letters(refused, batch_id)
 
-    def _write(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        self.store.write_batch(rows, table, self.stream_id, batch_id)
+    def _write(self, rows: DataFrame, table: str, batch_id: int, many_days: bool = False) -> None:
+        self.store.write_batch(rows, table, self.stream_id, batch_id, many_days)
 
 
 def start_fan_out(
