@@ -49,29 +49,33 @@ def prefix_totals(raw: DataFrame, hourly: DataFrame, prefix: str) -> DataFrame:
 def reconcile_stores(published: DataFrame, raw: DataFrame, hourly: DataFrame) -> DataFrame:
     """Per repository and type: published events, raw rows, rollup count, and the differences.
 
-    Each side is aggregated before the join, so the join sees one row per key.
+    The rows of a full outer join of the three counts, a key missing on one
+    side counting 0 there, but from one aggregation of their union: one
+    shuffle of pre-aggregated counts, and NULL keys compare as equal.
     """
-    keys = ["repo_name", "event_type"]
-
-    def counted(events: DataFrame, name: str) -> DataFrame:
-        return events.groupBy("repo_name", F.col("type").alias("event_type")).agg(
-            F.count("*").alias(name)
+    counts = ("published", "raw_rows", "hourly_count")
+
+    def side(rows: DataFrame, event_type: str, name: str, amount: Column) -> DataFrame:
+        zero = F.lit(0).cast("long")
+        return rows.select(
+            "repo_name",
+            F.col(event_type).alias("event_type"),
+            *[(amount if count == name else zero).alias(count) for count in counts],
         )
 
-    rollup = hourly.groupBy(*keys).agg(F.sum("count").alias("hourly_count"))
-    joined = (
-        counted(published, "published")
-        .join(counted(raw, "raw_rows"), keys, "full_outer")
-        .join(rollup, keys, "full_outer")
-        .na.fill(0, ["published", "raw_rows", "hourly_count"])
-    )
-    return joined.select(
-        *keys,
-        "published",
-        "raw_rows",
-        "hourly_count",
-        (F.col("published") - F.col("raw_rows")).alias("raw_diff"),
-        (F.col("hourly_count") - F.col("raw_rows")).alias("hourly_diff"),
+    one = F.lit(1).cast("long")
+    return (
+        side(published, "type", "published", one)
+        .unionByName(side(raw, "type", "raw_rows", one))
+        .unionByName(side(hourly, "event_type", "hourly_count", F.col("count")))
+        .groupBy("repo_name", "event_type")
+        .agg(*[F.sum(count).alias(count) for count in counts])
+        .withColumns(
+            {
+                "raw_diff": F.col("published") - F.col("raw_rows"),
+                "hourly_diff": F.col("hourly_count") - F.col("raw_rows"),
+            }
+        )
     )
 
 
