@@ -3,8 +3,6 @@ from datetime import timedelta
 
 import pytest
 from conftest import tuples, utc
-from pyspark.sql import functions as F
-
 from tidewatch.operators import metrics
 
 T0 = utc(2026, 5, 5)

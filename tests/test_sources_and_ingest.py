@@ -3,7 +3,6 @@ import time
 
 import pytest
 from conftest import messages, raw_json, tuples, utc
-from pyspark.sql import functions as F
 
 from tidewatch.functions.contract import parse_events, valid_events
 from tidewatch.sources import synthetic, topic

@@ -16,7 +16,7 @@ from tidewatch.functions.json_events import event_json
 from tidewatch.functions.timebuckets import cutoff
 from tidewatch.operators.metrics import histogram
 from tidewatch.operators.rollup import hourly_partials, hourly_rollup, timeseries_rows
-from tidewatch.schemas import EVENT_COLUMNS, TOPIC_COLUMNS
+from tidewatch.schemas import EVENT_COLUMNS
 
 # The types kept at ingest in this data; `error` events are refused.
 TABLE_ALLOWED_TYPES = ("click", "purchase", "signup", "view")

@@ -29,7 +29,7 @@ SCALE_CONF = {
 
 
 def build_session(app_name: str = "tidewatch", master: str | None = None, **conf) -> SparkSession:
-    """A session with the engine's settings; `conf` keys use `_` for `.` or are given verbatim."""
+    """A session with the engine's settings; `conf` adds to them or replaces them."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

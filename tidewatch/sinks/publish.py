@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.schemas import POLL_INTERVAL
+from tidewatch.session import configure
 
 
 def _one_target(kafka: dict[str, str] | None, path: str | None) -> None:
@@ -32,6 +33,7 @@ def start_publishing(
 ) -> StreamingQuery:
     """Publish a stream of (key, value) records."""
     _one_target(kafka, path)
+    configure(records.sparkSession)
     writer = records.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     writer = writer.trigger(**trigger)

@@ -24,6 +24,7 @@ from tidewatch.functions.contract import check_events, rejected_messages, valid_
 from tidewatch.operators.events import insert_if_absent, keep_first
 from tidewatch.operators.rollup import hourly_partials, timeseries_rows
 from tidewatch.schemas import BATCH_INTERVAL, EVENT_COLUMNS, RETRY_DELAYS
+from tidewatch.session import configure
 from tidewatch.sinks.store import TableStore, check_stream_id
 from tidewatch.streaming.monitor import JobMetrics
 from tidewatch.streaming.retry import RetriesExhausted, with_retry
@@ -206,7 +207,7 @@ def start_fan_out(
     interval: str = BATCH_INTERVAL,
 ) -> StreamingQuery:
     """Start the storage job over a stream of topic messages."""
-    job.store.ensure(messages.sparkSession)
+    job.store.ensure(configure(messages.sparkSession))
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
         messages.writeStream.foreachBatch(job.process)
