@@ -23,6 +23,11 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with new columns, each computed once however often it is used: a generator keeps them from being inlined."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Connected components of an undirected graph: (node, label), label the smallest node of the component.
 

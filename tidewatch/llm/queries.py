@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import exact_dedup, hnsw, mixing, pieces, simhash, token_files, toxicity
+from tidewatch.llm import (
+    exact_dedup,
+    hnsw,
+    licences,
+    mixing,
+    pieces,
+    pseudonyms,
+    simhash,
+    site_quality,
+    token_files,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +33,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(table(spark, sf_dir, "documents"))
+
+
+def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), key="corpus-1")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,10 +78,13 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_licences": op3_licences,
+    "op4_site_quality": op4_site_quality,
     "op5_toxicity": op5_toxicity,
     "op6_near_vectors": op6_near_vectors,
     "op7_simhash": op7_simhash,
     "op8_token_files": op8_token_files,
+    "op9_pseudonyms": op9_pseudonyms,
     "op10_pieces": op10_pieces,
 }
 
@@ -69,4 +95,5 @@ ORACLE_SQL = {
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op3_licences": licences.oracle(),
 }
