@@ -125,8 +125,8 @@ def oracle(templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAS
                      unnest(string_split(text, chr(10))) AS evidence FROM p),
         u AS (SELECT r, doc_id, line_no, unit, evidence FROM l UNION ALL
               SELECT r, doc_id, 0, replace(plain, chr(10), ' '), text FROM p WHERE contains(plain, chr(10))),
-        w AS (SELECT r, doc_id, line_no, evidence, list_filter(string_split(unit, ' '), x -> x <> '') AS ws FROM u),
-        b AS (SELECT r, doc_id, line_no, evidence, list_distinct(list_transform(range(1, len(ws)), k -> ws[k] || ' ' || ws[k + 1])) AS b FROM w WHERE len(ws) > 1),
+        w AS (SELECT r, doc_id, line_no, evidence, list_filter(string_split(unit, ' '), lambda x: x <> '') AS ws FROM u),
+        b AS (SELECT r, doc_id, line_no, evidence, list_distinct(list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1])) AS b FROM w WHERE len(ws) > 1),
         s AS (SELECT b.*, t.i, t.licence, 2 * len(list_intersect(b, tb)) / (len(b) + len(tb))::DOUBLE AS dice FROM b JOIN t ON len(b) <= 2 * len(tb) AND len(tb) <= 2 * len(b)),
         k AS (SELECT *, row_number() OVER (PARTITION BY r, line_no ORDER BY dice DESC, i) AS place FROM s)
         SELECT doc_id, line_no::INTEGER AS line_no, licence, i::INTEGER AS template, dice, evidence FROM k WHERE place = 1 AND dice >= {least}
