@@ -18,7 +18,7 @@ CHUNK_CHARS = 16_384
 FAN = 64
 SPACE = "▁"
 NEVER = float("-inf")
-CACHE = 600_000
+CACHE = 400_000
 SPACED = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 # A boundary state is the piece that covers the last character before the
@@ -43,6 +43,7 @@ class Vocabulary:
         self.of_byte = {b: i for i, b in self.bytes.items()}
         skip = set(controls) | set(self.bytes)
         self.ids = {p: i for i, p in enumerate(pieces) if i not in skip}
+        self.names = {p: p for p in self.ids}
         self.scores = {p: scores[i] for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids), default=1)
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
@@ -146,12 +147,15 @@ class Vocabulary:
     def walk(self, text: str) -> list[str]:
         """The path of weight 0 through a text between cuts: longest pieces first, and back from dead ends."""
         path, dead, at, stop = [], set(), 0, len(text)
-        ids, pairs, longest = self.ids, self.pairs, self.longest
+        names, pairs, longest = self.names, self.pairs, self.longest
         size = min(longest, stop)
         while at < stop:
             while size:
-                piece = text[at : at + size]
-                if size == 1 or (piece in ids and self.valid(piece)):
+                part = text[at : at + size]
+                piece = names.get(part)  # one string for each piece, however many pairs hold it
+                if piece is None and size == 1:
+                    piece = part
+                if piece is not None and (size == 1 or self.valid(piece)):
                     if not path:
                         break
                     if (fits := pairs.get((path[-1], piece))) is None:
