@@ -115,8 +115,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = sorted(r["term"] for r in best.select("term").collect())
     place = {t: i for i, t in enumerate(chosen)}
     wanted = F.array_intersect("terms", F.array(*[F.lit(t) for t in chosen])) if chosen else F.array().cast("array<bigint>")
-    sample = hashed.select("toxic", wanted.alias("terms")).orderBy("toxic", F.array_join(F.col("terms"), ",")).collect()
-    return fit_machine([[place[t] for t in r["terms"]] for r in sample], [r["toxic"] for r in sample], chosen)
+    sample = sorted((r["toxic"], r["terms"]) for r in hashed.select("toxic", wanted.alias("terms")).collect())
+    return fit_machine([[place[t] for t in terms] for _, terms in sample], [toxic for toxic, _ in sample], chosen)
 
 
 class Scorer:
