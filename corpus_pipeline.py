@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm import exact_dedup, mixing, pieces, queries, simhash, toxicity
 from tidewatch.llm.common import WORD, stored, text_or_empty
 
+NEAR_BITS = 8
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents the factorization machine predicts toxic."""
@@ -21,8 +23,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near fingerprints, the one of the smallest id."""
-    return simhash.one_of_each(docs, shingle=5)
+    """One document of each component of near fingerprints, the one of the smallest id.
+
+    Texts that share four fifths of their five-word shingles differ in some
+    more bits than the four of the operator's usual distance.
+    """
+    return simhash.one_of_each(docs, shingle=5, distance=NEAR_BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
