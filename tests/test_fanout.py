@@ -17,7 +17,7 @@ from tidewatch.operators.rollup import hourly_partials
 from tidewatch.sinks.store import TableStore, archive_batches
 from tidewatch.sources.topic import stream_topic_files
 from tidewatch.streaming import fanout
-from tidewatch.streaming.fanout import FanOut, start_fan_out
+from tidewatch.streaming.fanout import FanOut, replay_dead_letters, start_fan_out
 from tidewatch.streaming.monitor import JobMetrics, ProgressListener
 
 NO_WAIT = {"delays": (), "sleep": lambda seconds: None}
@@ -148,7 +148,7 @@ def broken(place, tables, delays=()):
     return job
 
 
-def test_crash_between_raw_and_hourly_then_restart(spark, place):
+def test_failed_dead_letters_after_exhaustion_leave_no_rows_and_a_restart_stores_all(spark, place):
     shuffled_topic(spark, place)
     job = broken(place, {"events_hourly": 1})
     original = job._write
@@ -162,7 +162,7 @@ def test_crash_between_raw_and_hourly_then_restart(spark, place):
     with pytest.raises(StreamingQueryException):
         run(spark, place, job)
     half = contents(spark, job.store)
-    assert len(half["raw"]) == 60 and half["hourly"] == []
+    assert half["raw"] == half["hourly"] == []
     found = contents(spark, run(spark, place))
     assert len(found["raw"]) == 60 and sum(row[2] for row in found["hourly"]) == 60
 
@@ -279,3 +279,33 @@ def test_tables_by_name_in_a_catalog(spark, place):
         assert tuples(spark.sql("SELECT id, repo_name FROM activity_test.raw_events")) == [("1", "owner/repo")]
     finally:
         spark.sql("DROP DATABASE IF EXISTS activity_test CASCADE")
+
+
+@pytest.mark.parametrize("table", ["events_hourly", "events_timeseries"])
+def test_exhausted_batches_leave_tables_equal_and_replay(spark, place, table):
+    land(spark, place, [raw_json("1"), raw_json("2")])
+    found = contents(spark, run(spark, place, broken(place, {table: 99})))
+    assert found["raw"] == found["hourly"] == found["timeseries"] == []
+    reasons = {row.reason for row in broken(place, {}).store.read(spark, "dead_letters").collect()}
+    assert len(reasons) == 1 and "OSError" in reasons.pop()
+    job = FanOut(broken(place, {}).store, "replay-1", record_samples=False)
+    for _ in range(2):
+        replay_dead_letters(spark, job, broken(place, {}).stream_id)
+        found = contents(spark, job.store)
+        assert len(found["raw"]) == len(found["timeseries"]) == 2
+        assert sum(row[2] for row in found["hourly"]) == 2
+
+
+def test_a_new_store_reads_archives_after_their_batches_are_gone(spark, place):
+    store = None
+    for i in range(3):
+        land(spark, place, [raw_json(f"a{i}")])
+        store = run(spark, place)
+    stream = broken(place, {}).stream_id
+    before = contents(spark, store)
+    archive_batches(spark, store, stream, 2, place["tables"] + "-archive")
+    for batch in (0, 1):
+        for name in ("raw_events", "events_hourly", "events_timeseries"):
+            store.clear_batch(spark, name, stream, batch)
+    again = contents(spark, TableStore(store.root))
+    assert len(again["raw"]) == len(before["raw"]) == 3 and again["hourly"] == before["hourly"]

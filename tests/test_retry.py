@@ -33,3 +33,11 @@ def test_fails_twice_then_succeeds():
 def test_success_at_once_does_not_wait():
     action, calls = failing(0)
     assert with_retry(action, sleep=pytest.fail) == 1
+
+
+def test_a_stop_is_passed_on_at_once():
+    def stopped():
+        raise OSError("java.lang.InterruptedException: stopped")
+
+    with pytest.raises(OSError):
+        with_retry(stopped, sleep=pytest.fail, on_retry=pytest.fail)

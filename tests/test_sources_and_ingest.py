@@ -1,4 +1,5 @@
 import json
+import os
 import time
 
 import pytest
@@ -111,6 +112,17 @@ def test_ingest_filters_before_dedupe_and_publishes_once(spark, tmp_path, salt):
     assert {json.loads(value)["type"] for _, value in got} == {"PushEvent", "WatchEvent", "ForkEvent"}
 
 
+def test_an_event_of_a_far_future_makes_no_other_late(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    times = ["2999-01-01T00:00:00Z", "2026-05-08T15:00:00Z", "1990-01-01T00:00:00Z", "2026-05-08T15:00:00Z"]
+    for n, at in enumerate(times):
+        (landed / f"{n}.json").write_text("[" + raw_json(str(n % 3), at=at) + "]")
+        os.utime(landed / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    got = ingest(spark, tmp_path, stream_snapshots(spark, str(landed), max_files=1))
+    assert sorted(json.loads(value)["id"] for _, value in got) == ["0", "1", "2"]
+
+
 def test_refused_texts_have_their_own_stream(spark, tmp_path):
     landed = tmp_path / "landed"
     landed.mkdir()

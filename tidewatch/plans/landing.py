@@ -21,8 +21,8 @@ from tidewatch.sources.topic import stream_topic_files
 from tidewatch.streaming.fanout import FanOut, start_fan_out
 from tidewatch.streaming.ingest import accepted_messages, dedupe_stream
 
-# Longer than the time the tables span, so no event of theirs is late.
-LATENESS = "366 days"
+# How long after its arrival an id is remembered at ingest; both deliveries of a run lie within it.
+HORIZON = "2 hours"
 
 # Files per micro-batch, so that a catch-up over a very large topic runs in parts.
 MAX_FILES = 2000
@@ -56,7 +56,7 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
         _land(spark, sf_dir, f"{folder}/topic")
     events = valid_events(parse_events(stream_topic_files(spark, f"{folder}/topic", MAX_FILES)))
     (
-        dedupe_stream(events, LATENESS)
+        dedupe_stream(events, HORIZON)
         .select("id", "type")
         .writeStream.option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
@@ -73,7 +73,7 @@ def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "ingest")
     dt.topic(spark, sf_dir).select("value").write.text(f"{folder}/landed")
     messages = accepted_messages(
-        stream_lines(spark, f"{folder}/landed", MAX_FILES), LATENESS, allowed=dt.TABLE_ALLOWED_TYPES
+        stream_lines(spark, f"{folder}/landed", MAX_FILES), HORIZON, allowed=dt.TABLE_ALLOWED_TYPES
     )
     start_publishing(
         messages, f"{folder}/checkpoint", path=f"{folder}/published", available_now=True

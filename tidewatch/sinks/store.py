@@ -55,13 +55,19 @@ class Archive:
         )
 
 
+ARCHIVE_LIST = "archives"
+ARCHIVE_SCHEMA = "root STRING, stream_id STRING, first_batch BIGINT, end_batch BIGINT"
+
+
 @dataclass(frozen=True)
 class TableStore:
     """The five tables below `root`, a folder every executor can reach.
 
     Small batches leave many small files. `archives` name closed batches that
     were rewritten in large ones: reads take those rows from the archive and
-    leave out the batches themselves, which may then be removed.
+    leave out the batches themselves, which may then be removed. Archives made
+    by `archive_batches` are listed in the root, so every store on it reads
+    them; `archives` may name further ones.
     """
 
     root: str
@@ -100,9 +106,10 @@ class TableStore:
         rows = spark.read.schema(TABLE_SCHEMAS[table]).parquet(self.path(table))
         if table not in DAY_SOURCE:
             return rows
-        for archive in self.archives:
+        archives = self.known_archives(spark)
+        for archive in archives:
             rows = rows.filter(~archive.holds())
-        for archive in self.archives:
+        for archive in archives:
             archived = (
                 spark.read.schema(_batch_schema(table))
                 .parquet(f"{archive.root}/{table}")
@@ -111,6 +118,22 @@ class TableStore:
             rows = rows.unionByName(archived)
         return rows
 
+    def known_archives(self, spark: SparkSession) -> tuple[Archive, ...]:
+        """The archives listed in the root, a row each, and those named by this store."""
+        path = f"{self.root.rstrip('/')}/{ARCHIVE_LIST}"
+        listed = []
+        if exists(spark, path):
+            rows = spark.read.schema(ARCHIVE_SCHEMA).parquet(path).collect()
+            listed = [Archive(r.root, r.stream_id, r.first_batch, r.end_batch) for r in rows]
+        return tuple(sorted({*listed, *self.archives}, key=lambda a: (a.stream_id, a.first_batch, a.root)))
+
+    def clear_batch(self, spark: SparkSession, table: str, stream_id: str, batch_id: int) -> None:
+        """Remove one batch's partition, if it is there."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.batch_path(table, stream_id, batch_id))
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(path) and not files.delete(path, True):
+            raise OSError(f"could not clear {path}")
+
     def read_batch(self, spark: SparkSession, table: str, stream_id: str, batch_id: int) -> DataFrame:
         """One batch's partition, read without listing the rest of the table."""
         return spark.read.schema(_batch_schema(table)).parquet(self.batch_path(table, stream_id, batch_id))
@@ -136,6 +159,11 @@ class TableStore:
         ).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def write_for_reading(rows: DataFrame, table: str, path: str) -> None:
     """Write a new version of a table for reading: by day, sorted, evenly sized files.
 
@@ -164,7 +192,7 @@ def archive_batches(
     them again. Rollup rows with equal keys are summed. Nothing in the live
     tables changes, and a failed run leaves only an unused folder behind.
     """
-    done = [archive.end_batch for archive in store.archives if archive.stream_id == stream_id]
+    done = [archive.end_batch for archive in store.known_archives(spark) if archive.stream_id == stream_id]
     archive = Archive(root.rstrip("/"), check_stream_id(stream_id), max(done, default=0), last_committed)
     if archive.end_batch <= archive.first_batch:
         raise ValueError("no closed batches to archive")
@@ -174,4 +202,7 @@ def archive_batches(
         if table == "events_hourly":
             rows = compact_hourly(rows)
         write_for_reading(rows, table, f"{archive.root}/{table}")
+    # Listed last: from here on every store on this root reads the archive.
+    row = (archive.root, archive.stream_id, archive.first_batch, archive.end_batch)
+    spark.createDataFrame([row], ARCHIVE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{store.root.rstrip('/')}/{ARCHIVE_LIST}")
     return TableStore(store.root, (*store.archives, archive))

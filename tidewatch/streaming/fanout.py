@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -100,6 +100,9 @@ class FanOut:
             )
             self.metrics.add("events_processed_total", stats.valid)
         except RetriesExhausted as failure:
+            # Nothing of the batch may stay in one table and miss in another, or its replay would be refused as known.
+            for table in ("raw_events", "events_hourly", "events_timeseries"):
+                self.store.clear_batch(messages.sparkSession, table, self.stream_id, batch_id)
             exhausted = self._exhausted(parsed, failure)
             self._dead_letter(exhausted, batch_id, malformed)
             failed = stats.rows
@@ -156,7 +159,7 @@ class FanOut:
             # The batch's ids go to the stored ids instead of shuffling those.
             # What is left is a subset of the batch's ids, so it fits as well.
             batch_ids = parsed.filter(F.col("reason").isNull()).select("id").distinct()
-            ids = F.broadcast(ids.join(F.broadcast(batch_ids), "id", "left_semi"))
+            ids = F.broadcast(ids.join(F.broadcast(batch_ids), "id", "left_semi").distinct())
         return ids
 
     def _store_batch(self, parsed: DataFrame, stats: BatchStats, batch_id: int) -> None:
@@ -181,10 +184,13 @@ class FanOut:
             self.metrics.observe("analytics_write_duration_seconds", time.monotonic() - analytics_started)
 
     def _exhausted(self, parsed: DataFrame, failure: Exception) -> DataFrame:
-        """Every valid message of a batch whose writes kept failing."""
+        """Every valid message of a batch whose writes kept failing, with the last failure's first line."""
+        cause = failure.__cause__
+        first_line = str(cause).strip().split("\n")[0][:200] if cause else ""
+        reason = f"{failure}: {type(cause).__name__}: {first_line}" if cause else str(failure)
         return (
             parsed.filter(F.col("reason").isNull())
-            .withColumns({"reason": F.lit(str(failure)), "stage": F.lit("write")})
+            .withColumns({"reason": F.lit(reason), "stage": F.lit("write")})
             .select(*DEAD_LETTER_COLUMNS)
         )
 
@@ -216,3 +222,18 @@ def start_fan_out(
         .trigger(**trigger)
         .start()
     )
+
+
+def replay_dead_letters(spark: SparkSession, job: FanOut, source_stream: str, batch_id: int = 0) -> None:
+    """Run the messages whose writes failed in `source_stream` through `job` once more.
+
+    The failed batches left no rows behind, so all tables take the messages
+    again, and each of them alike. `job` has a stream id of its own; running
+    the same (stream id, batch id) twice only replaces its first result.
+    """
+    if job.stream_id == source_stream:
+        raise ValueError("a replay needs a stream id of its own")
+    letters = job.store.read(configure(spark), "dead_letters")
+    failed = letters.where((F.col("stream_id") == source_stream) & (F.col("stage") == "write"))
+    messages = failed.select("key", "value", "topic", "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"))
+    job.process(messages, batch_id)
