@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import WHITE, text_or_empty
+from tidewatch.llm.common import WHITE, stored, text_or_empty
 
 
 def normalised(column: str) -> Column:
@@ -50,13 +50,16 @@ def exact_duplicates(
         F.sum("group_size").alias("group_size"),
         F.count(F.lit(1)).alias("_texts"),
     )
-    rows = base.select("doc_id", "_hash", "_sha").join(keys, ["_hash", "_sha"]).where("_texts = 1")
-    shared = keys.where("_texts > 1").select("_hash", "_sha")
-    clashing = base.join(shared, ["_hash", "_sha"]).join(
-        groups.join(shared, ["_hash", "_sha"], "left_semi"), ["_hash", "_sha", "_text"]
-    )
+    # Stored, so that the texts are shuffled once, whatever reads the groups.
+    keys = stored(keys, "text-groups")
     columns = ("doc_id", "keep_id", "group_size", "_sha")
-    found = rows.select(*columns).union(clashing.select(*columns))
+    found = base.select("doc_id", "_hash", "_sha").join(keys, ["_hash", "_sha"]).where("_texts = 1").select(*columns)
+    shared = keys.where("_texts > 1").select("_hash", "_sha")
+    if shared.limit(1).count():
+        clashing = base.join(shared, ["_hash", "_sha"]).join(
+            groups.join(shared, ["_hash", "_sha"], "left_semi"), ["_hash", "_sha", "_text"]
+        )
+        found = found.union(clashing.select(*columns))
     return found.select(
         "doc_id",
         "keep_id",
