@@ -114,6 +114,27 @@ def test_snapshot(spark):
     assert early.first().uptime_seconds == 0
 
 
+def test_snapshot_of_parsed_messages(spark):
+    rows = [(AT, None), (utc(2026, 5, 5, 10, 0, 7), "invalid json"), (utc(2026, 5, 5, 10, 0, 3), None)]
+    row = audit.parsed_snapshot(spark.createDataFrame(rows, "timestamp timestamp, reason string")).first()
+    assert (row.status, row.uptime_seconds) == ("ok", 7)
+    assert (row.events_ingested_total, row.events_processed_total, row.events_failed_total) == (3, 2, 1)
+    none = audit.parsed_snapshot(spark.createDataFrame([], "timestamp timestamp, reason string")).first()
+    assert (none.uptime_seconds, none.events_ingested_total, none.events_failed_total) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("missing", [None, 0, 5, 32767, 32768, 40000, 65535, 65536, 70000])
+def test_offsets_over_many_spans(spark, missing):
+    # Whole spans are missing after 98303, and offset `missing` isn't done.
+    frame = spark.range(3, 98304).union(spark.range(200000, 200010)).selectExpr("'t' AS topic", "0 AS partition", "id AS offset")
+    frame = frame.withColumn("done", F.lit(True) if missing is None else F.col("offset") != missing)
+    want = 98303 if missing in (None, 0) else missing - 1
+    assert contiguous(frame) == {("t", 0): want}
+    lost = frame if missing is None else frame.where("done")
+    assert contiguous(lost) == {("t", 0): want}
+    assert [(r.latest_offset, r.lag) for r in audit.topic_lag(frame, "done").collect()] == [(200009, 200009 - want)]
+
+
 def test_load_summary(spark):
     raw = events(spark, [("1", "P", "r", "a", AT), ("2", "P", "r", "a", utc(2026, 5, 5, 10, 0, 4))])
     assert tuples(audit.load_summary(raw, "repo_name")) == [("r", 2, 4.0, 0.5)]

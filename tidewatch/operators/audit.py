@@ -84,61 +84,75 @@ def _bit_is_clear(bitmap: str, position: Column) -> Column:
     return F.getbit(F.conv(F.hex(octet), 16, 10).cast("int"), (position % 8).cast("int")) == 0
 
 
-def contiguous_offsets(messages: DataFrame, done: Column | str) -> DataFrame:
-    """The highest offset per (topic, partition) up to which every message is done.
-
-    NULL when the first message is not done. Completion is kept as one bit per
-    offset in bitmaps of `BITMAP_SPAN`, merged before the shuffle and blind to
-    repeats, so a partition of any length comes down to a few small rows and
-    no partition is read through by one task.
+def _progress(messages: DataFrame, done: Column | str) -> DataFrame:
+    """(topic, partition, first_offset, latest_offset, contiguous_offset), from one pass over the messages.
+
+    Completion is kept as one bit per offset in bitmaps of `BITMAP_SPAN`,
+    merged before the shuffle and blind to repeats, so a partition of any
+    length comes down to a few small rows and no partition is read through by
+    one task. Each span also announces the next one: an announced span without
+    messages is a gap, and so is the end.
     """
     done = F.col(done) if isinstance(done, str) else done
     keys = ["topic", "partition"]
-    position = F.col("offset") % BITMAP_SPAN
     spans = (
         messages.withColumn("_done", done)
         .groupBy(*keys, F.floor(F.col("offset") / BITMAP_SPAN).alias("_span"))
         .agg(
             F.min("offset").alias("_low"),
-            F.bitmap_construct_agg(F.when(F.col("_done"), position)).alias("_bits"),
+            F.max("offset").alias("_high"),
+            F.bitmap_construct_agg(F.when(F.col("_done"), F.col("offset") % BITMAP_SPAN)).alias("_bits"),
         )
     )
-    starts = spans.groupBy(*keys).agg(F.min("_low").alias("_start"))
-    # Ranges before the first gap are full; the gap is in the first that is not,
-    # or at the end of a full one without a successor.
-    ranged = spans.join(starts, keys).withColumn(
-        "_from", F.greatest(F.col("_start"), F.col("_span") * BITMAP_SPAN)
-    )
-    full = F.bitmap_count("_bits") == (F.col("_span") + 1) * BITMAP_SPAN - F.col("_from")
-    followers = spans.select(*keys, (F.col("_span") - 1).alias("_span"), F.lit(True).alias("_next"))
-    first_gap = (
-        ranged.withColumn("_full", full)
-        .join(followers, [*keys, "_span"], "left")
-        .filter(~F.col("_full") | F.col("_next").isNull())
-        .groupBy(*keys)
-        .agg(
-            F.min_by(F.struct("_start", "_from", "_span", "_bits"), "_span").alias("g"),
-        )
-        .select(*keys, "g.*")
+    here = F.struct(F.col("_span"), F.lit(True).alias("_here"), "_low", "_high", "_bits")
+    following = F.struct(
+        (F.col("_span") + 1).alias("_span"),
+        F.lit(False).alias("_here"),
+        F.lit(None).cast("long").alias("_low"),
+        F.lit(None).cast("long").alias("_high"),
+        F.lit(None).cast("binary").alias("_bits"),
+    )
+    announced = spans.select(*keys, F.inline(F.array(here, following)))
+    merged = announced.groupBy(*keys, "_span").agg(
+        F.bool_or("_here").alias("_here"),
+        F.bool_or(~F.col("_here")).alias("_follows"),
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
+        F.max("_bits").alias("_bits"),
     )
+    # A span that nothing announced is the first, or comes after a gap found before it.
+    begin = F.col("_span") * BITMAP_SPAN
+    gap_before = ~F.col("_here") | (F.col("_follows") & (F.col("_low") > begin))
+    full = F.bitmap_count("_bits") == begin + BITMAP_SPAN - F.col("_low")
+    broken = F.struct("_span", gap_before.alias("_before"), "_low", "_bits")
+    ends = merged.groupBy(*keys).agg(
+        F.min("_low").alias("first_offset"),
+        F.max("_high").alias("latest_offset"),
+        F.min(F.when(gap_before | ~full, broken)).alias("g"),
+    )
+    ends = ends.select(*keys, "first_offset", "latest_offset", "g.*")
     clear = F.filter(
-        F.sequence((F.col("_from") % BITMAP_SPAN).cast("int"), F.lit(BITMAP_SPAN - 1)),
+        F.sequence((F.col("_low") % BITMAP_SPAN).cast("int"), F.lit(BITMAP_SPAN - 1)),
         lambda p: _bit_is_clear("_bits", p),
     )
-    end = F.col("_span") * BITMAP_SPAN + F.coalesce(F.get(clear, F.lit(0)), F.lit(BITMAP_SPAN)) - 1
-    return first_gap.select(*keys, F.when(end >= F.col("_start"), end).alias("contiguous_offset"))
+    end = begin + F.when(F.col("_before"), 0).otherwise(F.get(clear, F.lit(0))) - 1
+    contiguous = F.when(end >= F.col("first_offset"), end)
+    return ends.select(*keys, "first_offset", "latest_offset", contiguous.alias("contiguous_offset"))
+
+
+def contiguous_offsets(messages: DataFrame, done: Column | str) -> DataFrame:
+    """The highest offset per (topic, partition) up to which every message is done.
+
+    NULL when the first message is not done.
+    """
+    return _progress(messages, done).select("topic", "partition", "contiguous_offset")
 
 
 def topic_lag(messages: DataFrame, done: Column | str) -> DataFrame:
     """Messages per (topic, partition) after the last contiguous completed offset."""
-    keys = ["topic", "partition"]
-    ends = messages.groupBy(*keys).agg(
-        F.min("offset").alias("_first"), F.max("offset").alias("latest_offset")
-    )
-    behind = F.coalesce(F.col("contiguous_offset"), F.col("_first") - 1)
-    return (
-        ends.join(contiguous_offsets(messages, done), keys)
-        .select(*keys, "latest_offset", "contiguous_offset", (F.col("latest_offset") - behind).alias("lag"))
+    behind = F.coalesce(F.col("contiguous_offset"), F.col("first_offset") - 1)
+    return _progress(messages, done).select(
+        "topic", "partition", "latest_offset", "contiguous_offset", (F.col("latest_offset") - behind).alias("lag")
     )
 
 
@@ -171,6 +185,27 @@ def progress_snapshot(
     )
 
 
+def parsed_snapshot(parsed: DataFrame, at: str = "timestamp") -> DataFrame:
+    """`progress_snapshot` of the output of `parse_events`, from one pass; the time runs from its first to its last message."""
+    accepted = F.col("reason").isNull()
+    counted = parsed.agg(
+        F.min(at).alias("started_at"),
+        F.max(at).alias("_as_of"),
+        F.count("*").alias("events_ingested_total"),
+        F.count_if(accepted).alias("events_processed_total"),
+        F.count_if(~accepted).alias("events_failed_total"),
+    )
+    elapsed = F.floor((F.unix_micros("_as_of") - F.unix_micros("started_at")) / 1000000)
+    return counted.select(
+        F.lit("ok").alias("status"),
+        "started_at",
+        F.greatest(F.lit(0).cast("long"), elapsed).alias("uptime_seconds"),
+        "events_ingested_total",
+        "events_processed_total",
+        "events_failed_total",
+    )
+
+
 def acceptance_report(
     published: DataFrame,
     raw: DataFrame,

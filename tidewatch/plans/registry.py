@@ -535,12 +535,7 @@ def load_summary(spark, sf_dir):
     (SELECT count(*) FROM topic WHERE reason IS NOT NULL) AS events_failed_total FROM bounds""",
 )
 def activity_snapshot(spark, sf_dir):
-    topic = dt.topic(spark, sf_dir)
-    parsed = parse_events(topic)
-    started = dt.events(spark, sf_dir).agg(F.min("ts")).scalar().cast("timestamp")
-    return audit.progress_snapshot(
-        topic, valid_events(parsed), rejected_messages(parsed), started, _now(spark, sf_dir)
-    )
+    return audit.parsed_snapshot(parse_events(dt.topic(spark, sf_dir)))
 
 
 @query(
