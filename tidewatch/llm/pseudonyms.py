@@ -90,11 +90,21 @@ def _card(key: str, x: Column, back: bool) -> Column:
 
 
 def _ip(key: str, x: Column, back: bool) -> Column:
-    o = F.transform(F.split(x, r"\."), lambda p: p.cast("int"))
-    plain = F.forall(F.split(x, r"\."), lambda p: (p.cast("int") <= 255) & (p.cast("int").cast("string") == p))
-    left, right = (F.element_at(o, i) * 256 + F.element_at(o, i + 1) for i in (1, 3))
-    moved = _let(feistel(key, "ip", left, right, 65536, 65536, back), lambda s: F.concat_ws(".", *[F.floor(s[h] / 256).cast("string") if hi else (s[h] % 256).cast("string") for h in ("l", "r") for hi in (1, 0)]))
-    return F.when(plain, moved)
+    """Each part keeps its number of digits: of one digit there are 10, of two 90, of three 156."""
+    parts = F.split(x, r"\.")
+    plain = F.forall(parts, lambda p: (p.cast("int") <= 255) & (p.cast("int").cast("string") == p))
+
+    def moved(p: Column) -> Column:
+        least, n = (
+            [F.when(F.length(p[i]) == 1, small).when(F.length(p[i]) == 2, middle).otherwise(large) for i in range(4)]
+            for small, middle, large in ((0, 10, 100), (10, 90, 156))
+        )
+        left, right = ((p[i].cast("int") - least[i]) * n[i + 1] + p[i + 1].cast("int") - least[i + 1] for i in (0, 2))
+        pair = lambda s, h, i: (F.floor(s[h] / n[i + 1]) + least[i], s[h] % n[i + 1] + least[i + 1])
+        permuted = feistel(key, "ip", left, right, n[0] * n[1], n[2] * n[3], back)
+        return _let(permuted, lambda s: F.concat_ws(".", *[o.cast("string") for h, i in (("l", 0), ("r", 2)) for o in pair(s, h, i)]))
+
+    return F.when(plain, _let(parts, moved))
 
 
 def _date(key: str, x: Column, back: bool) -> Column:
