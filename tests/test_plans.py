@@ -6,10 +6,10 @@ import pytest
 from conftest import SF_DIR, utc
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from tidewatch.operators import activity, metrics
 from tidewatch.operators.rollup import hourly_partials
 from tidewatch.plans import driver_tables as dt
+from tidewatch.plans.registry import QUERIES
 from tidewatch.session import configure, working_folder
 from tidewatch.sinks.store import write_for_reading
 
@@ -87,7 +87,7 @@ def test_prefix_is_pushed(tables):
 
 
 def test_registered_trending_pushes_its_window(spark):
-    found = scans(entry_points.queries()["trending_repos"](spark, SF_DIR))
+    found = scans(QUERIES["trending_repos"](spark, SF_DIR))
     assert any("GreaterThanOrEqual(ts,ScalarSubquery" in scan["PushedFilters"] for scan in found)
 
 
@@ -107,9 +107,9 @@ def test_rate_never_orders_a_whole_series_of_samples(spark):
 STREAMED = {"acceptance_report", "fanout_end_to_end", "ingest_accepted", "microbatch_counts", "stream_dedupe", "stream_hourly", "stream_route", "tables_exist"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - STREAMED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMED))
 def test_no_python_and_no_pairing_in_any_plan(spark, name):
-    text = entry_points.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 

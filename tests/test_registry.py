@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as entry_points  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
+from tidewatch.plans.registry import ORACLE_SQL, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -22,14 +23,20 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    frame = entry_points.queries()[name](spark, SF_DIR)
-    result = duck.sql(entry_points.oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    result = duck.sql(ORACLE_SQL[name])
     assert sorted(frame.columns) == sorted(result.columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(result.columns, result.fetchall())
 
 
+def test_the_driver_gets_every_query():
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLE_SQL.items() <= entry_points.oracle_sql().items()
+    assert entry_points.oracle_sql().keys() <= entry_points.queries().keys()
+
+
 def test_entry_gives_the_top_ten(spark):
     frame = entry_points.entry(spark)
     assert frame.columns == ["repo_name", "count"]
