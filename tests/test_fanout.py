@@ -14,11 +14,12 @@ from tidewatch.functions.contract import parse_events, valid_events
 from tidewatch.operators.activity import event_breakdown, trending_repos
 from tidewatch.operators.events import keep_first
 from tidewatch.operators.rollup import hourly_partials
+from tidewatch.sinks.publish import start_publishing
 from tidewatch.sinks.store import TableStore, archive_batches
 from tidewatch.sources.topic import stream_topic_files
 from tidewatch.streaming import fanout
 from tidewatch.streaming.fanout import FanOut, replay_dead_letters, start_fan_out
-from tidewatch.streaming.monitor import JobMetrics, ProgressListener
+from tidewatch.streaming.monitor import JobMetrics
 
 NO_WAIT = {"delays": (), "sleep": lambda seconds: None}
 
@@ -209,20 +210,36 @@ def test_batch_metrics_are_stored(spark, place):
     assert values[("raw_write_duration_seconds_bucket", "+Inf")] == 1
 
 
-def test_listener_counts_the_rows_of_each_batch(spark, place):
+def test_streams_of_one_session_keep_their_samples_apart(spark, place, tmp_path):
     land(spark, place, [raw_json("1"), raw_json("2")])
-    metrics = JobMetrics()
-    listener = ProgressListener(metrics)
-    spark.streams.addListener(listener)
-    try:
-        run(spark, place)
-        deadline = time.time() + 20
-        while ("input_rows_total", "") not in metrics.counters and time.time() < deadline:
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(listener)
-    assert metrics.counters[("input_rows_total", "")] == 2
-    assert metrics.counters[("batch_duration_seconds_count", "")] >= 1
+    jobs = {name: FanOut(TableStore(str(tmp_path / name)), name, **NO_WAIT) for name in ("one", "two")}
+    run(spark, place, jobs["one"], checkpoint=str(tmp_path / "c1"))
+    land(spark, place, [raw_json("3")], start=2)
+    ingest = JobMetrics()
+    records = stream_topic_files(spark, place["topic"]).select("key", "value")
+    store = TableStore(str(tmp_path / "ingest"))
+    queries = [
+        start_fan_out(stream_topic_files(spark, place["topic"]), jobs["two"], str(tmp_path / "c2"), available_now=True),
+        start_publishing(records, str(tmp_path / "c3"), path=str(tmp_path / "out"), available_now=True, metrics=ingest, store=store),
+    ]
+    for query in queries:
+        query.awaitTermination()
+    wanted = {"one": 2, "two": 3, "ingest": 3}
+
+    def counted():
+        found = {name: job.metrics.counters.get(("input_rows_total", "")) for name, job in jobs.items()}
+        return found | {"ingest": ingest.counters.get(("input_rows_total", ""))}
+
+    deadline = time.time() + 20
+    while counted() != wanted and time.time() < deadline:
+        time.sleep(0.1)
+    assert counted() == wanted
+    assert jobs["one"].metrics.counters[("batch_duration_seconds_count", "")] >= 1
+    samples = store.read(spark, "metric_samples").filter("metric = 'input_rows_total'")
+    while not samples.count() and time.time() < deadline:
+        time.sleep(0.1)
+        samples = store.read(spark, "metric_samples").filter("metric = 'input_rows_total'")
+    assert [(row.stream_id, row.value) for row in samples.collect()][-1] == ("ingest", 3.0)
 
 
 def test_queries_on_stored_tables(spark, place):

@@ -91,6 +91,44 @@ def test_registered_trending_pushes_its_window(spark):
     assert any("GreaterThanOrEqual(ts,ScalarSubquery" in scan["PushedFilters"] for scan in found)
 
 
+PUSHED = {
+    "top_contributors": "EqualTo(repo_name,org/repo-042)",
+    "contributors_share": "EqualTo(repo_name,org/repo-042)",
+    "recent_events": "EqualTo(repo_name,org/repo-042)",
+    "repo_breakdown": "EqualTo(repo_name,org/repo-042)",
+    "repo_event_ids": "EqualTo(repo_name,org/repo-042)",
+    "repo_totals": "EqualTo(repo_name,org/repo-042)",
+    "event_by_id": "EqualTo(id,777)",
+    "id_summary": "EqualTo(id,777)",
+    "prefix_totals": "StringStartsWith(",
+    "top_repo_contributors": "EqualTo(repo_name,ScalarSubquery",
+    "top_repo_recent": "EqualTo(repo_name,ScalarSubquery",
+    "dashboard_top_repo": "EqualTo(repo_name,ScalarSubquery",
+    "latest_events": "GreaterThanOrEqual(created_at,ScalarSubquery",
+    "latest_timeseries": "GreaterThanOrEqual(timestamp,ScalarSubquery",
+    "hourly_listing": "GreaterThanOrEqual(hour,ScalarSubquery",
+}
+
+
+@pytest.mark.parametrize("name", PUSHED)
+def test_registered_reads_push_their_filter(spark, name):
+    found = scans(QUERIES[name](spark, SF_DIR))
+    assert any(PUSHED[name] in scan["PushedFilters"] for scan in found)
+    assert all("payload" not in scan["ReadSchema"] for scan in found)
+
+
+def test_newest_rows_are_read_from_the_newest_days(tables):
+    frame = activity.latest_events(tables[0], 10)
+    total = tables[0].count()
+    read = [scan["rows"] for scan in scans(frame) if "created_at" in scan["ReadSchema"]]
+    assert read and max(read) < total / 4
+    whole = activity.latest_events(tables[0].drop("dt"), 10)
+    assert frame.collect() == whole.collect()
+    listed = activity.hourly_listing(tables[1], 100)
+    assert listed.collect() == activity.hourly_listing(tables[1].drop("dt"), 100).collect()
+    assert activity.latest_events(tables[0].filter("id = 'none'"), 10).collect() == []
+
+
 def test_share_reuses_the_aggregation(tables):
     frame = activity.with_share_of_max(activity.event_breakdown(tables[1], NOW, 168))
     names = [name for name, _ in executed(frame)]

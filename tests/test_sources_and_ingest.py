@@ -10,7 +10,7 @@ from tidewatch.sources import synthetic, topic
 from tidewatch.sources.snapshot import read_lines, read_snapshots, stream_lines, stream_snapshots
 from tidewatch.sinks.publish import publish, start_publishing
 from tidewatch.streaming.ingest import accepted_messages, dedupe_stream, refused_messages
-from tidewatch.streaming.monitor import JobMetrics, ProgressListener, source_lag
+from tidewatch.streaming.monitor import JobMetrics, source_lag
 
 NOW = utc(2026, 5, 11, 12)
 
@@ -90,10 +90,14 @@ def test_kafka_options():
         topic.read_options(["a:1"], " ")
 
 
-def ingest(spark, tmp_path, stream, **options):
+def ingest(spark, tmp_path, stream, metrics=None, **options):
     published = str(tmp_path / "published")
     start_publishing(
-        accepted_messages(stream, "30 days", **options), str(tmp_path / "cp"), path=published, available_now=True
+        accepted_messages(stream, "30 days", **options),
+        str(tmp_path / "cp"),
+        path=published,
+        available_now=True,
+        metrics=metrics,
     ).awaitTermination()
     return sorted(tuples(spark.read.schema("key string, value string").parquet(published)))
 
@@ -158,15 +162,10 @@ def test_ingest_counts_what_it_published(spark, tmp_path):
     landed.mkdir()
     (landed / "a.json").write_text("[" + ",".join([raw_json("1"), raw_json("1"), raw_json("2")]) + "]")
     metrics = JobMetrics()
-    listener = ProgressListener(metrics)
-    spark.streams.addListener(listener)
-    try:
-        ingest(spark, tmp_path, stream_snapshots(spark, str(landed)))
-        deadline = time.time() + 20
-        while metrics.counters.get(("events_ingested_total", ""), 0) < 2 and time.time() < deadline:
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(listener)
+    ingest(spark, tmp_path, stream_snapshots(spark, str(landed)), metrics=metrics)
+    deadline = time.time() + 20
+    while metrics.counters.get(("events_ingested_total", ""), 0) < 2 and time.time() < deadline:
+        time.sleep(0.1)
     assert metrics.counters[("events_ingested_total", "")] == 2
 
 
@@ -174,6 +173,7 @@ def test_source_lag_of_kafka_progress():
     assert source_lag('{"t":{"0":10,"1":5}}', '{"t":{"0":12,"1":5}}') == 2
     assert source_lag(None, '{"t":{"0":3}}') == 3
     assert source_lag('{"logOffset":1}', None) is None
+    assert source_lag('{"logOffset":1}', "not JSON") is None
 
 
 def test_job_metrics_as_samples(spark):

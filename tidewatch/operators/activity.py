@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.params import bounded_int, required_name
@@ -91,25 +91,44 @@ def recent_events(raw: DataFrame, repo: str, limit=None) -> DataFrame:
     return _newest(raw.filter(F.col("repo_name") == repo), limit)
 
 
+def newest_days(rows: DataFrame, at: str, amount: Column, least: int) -> DataFrame:
+    """The newest days of a table partitioned by `dt` that hold at least `least` by `amount`; other tables whole.
+
+    A day's `amount` is counted from as few columns as it needs, none for a
+    row count. The first day that is kept is one value, compared with `at`, so
+    it reaches the scan and the files of earlier days are skipped.
+    """
+    if "dt" not in rows.columns:
+        return rows
+    # A row per day of the table.
+    newer = Window.orderBy(F.desc("dt")).rowsBetween(Window.unboundedPreceding, -1)
+    by_day = rows.groupBy("dt").agg(amount.alias("n")).withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+    first = by_day.filter(F.col("newer") < least).agg(F.min("dt").cast("timestamp")).scalar()
+    return rows.filter(F.col(at) >= first)
+
+
 def latest_events(raw: DataFrame, limit=None) -> DataFrame:
     """Newest events of all repositories."""
-    return _newest(raw, bounded_int("limit", limit, DEFAULT_LISTING_LIMIT, 1, MAX_LIMIT))
+    limit = bounded_int("limit", limit, DEFAULT_LISTING_LIMIT, 1, MAX_LIMIT)
+    return _newest(newest_days(raw, "created_at", F.count("*"), limit), limit)
 
 
 def latest_timeseries(timeseries: DataFrame, limit=None) -> DataFrame:
     limit = bounded_int("limit", limit, DEFAULT_LISTING_LIMIT, 1, MAX_LIMIT)
     return (
-        timeseries.select("timestamp", "repo_name", "event_type")
+        newest_days(timeseries, "timestamp", F.count("*"), limit)
+        .select("timestamp", "repo_name", "event_type")
         .orderBy(F.desc("timestamp"), "repo_name", "event_type")
         .limit(limit)
     )
 
 
 def hourly_listing(hourly: DataFrame, limit=None) -> DataFrame:
-    """Newest hours of the rollup, summed by all three keys."""
+    """Newest hours of the rollup, summed by all three keys; every hour holds at least one."""
     limit = bounded_int("limit", limit, DEFAULT_LISTING_LIMIT, 1, MAX_LIMIT)
     return (
-        hourly.groupBy("hour", "repo_name", "event_type")
+        newest_days(hourly, "hour", F.count_distinct("hour"), limit)
+        .groupBy("hour", "repo_name", "event_type")
         .agg(F.sum("count").alias("count"))
         .orderBy(F.desc("hour"), "repo_name", "event_type")
         .limit(limit)

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.contract import parse_events, valid_events
+from tidewatch.operators.rollup import hourly_partials, timeseries_rows
 from tidewatch.plans import driver_tables as dt
-from tidewatch.schemas import TOPIC_COLUMNS
+from tidewatch.schemas import EVENT_COLUMNS, TOPIC_COLUMNS
 from tidewatch.session import working_folder
 from tidewatch.sinks.publish import publish, start_publishing
-from tidewatch.sinks.store import TableStore
+from tidewatch.sinks.store import TableStore, read_written, write_for_reading
 from tidewatch.sources.snapshot import stream_lines
 from tidewatch.sources.topic import stream_topic_files
 from tidewatch.streaming.fanout import FanOut, start_fan_out
@@ -28,6 +29,7 @@ HORIZON = "2 hours"
 MAX_FILES = 2000
 
 _stores: dict[tuple[str, str], TableStore] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
 def _land(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -49,6 +51,38 @@ def stored(spark: SparkSession, sf_dir: str) -> TableStore:
     return _stores[key]
 
 
+def _for_reading(spark: SparkSession, sf_dir: str, name: str, raw: DataFrame) -> str:
+    """The folder of the three day tables of `raw`, written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        folder = working_folder(spark, name)
+        raw = raw.select(*EVENT_COLUMNS)
+        write_for_reading(raw, "raw_events", f"{folder}/raw_events")
+        raw = read_written(spark, "raw_events", f"{folder}/raw_events")
+        write_for_reading(hourly_partials(raw), "events_hourly", f"{folder}/events_hourly")
+        write_for_reading(timeseries_rows(raw), "events_timeseries", f"{folder}/events_timeseries")
+        _written[key] = folder
+    return _written[key]
+
+
+def written(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A day table of all events, in the layout that reads are made for."""
+    folder = _for_reading(spark, sf_dir, "reading", dt.raw(spark, sf_dir))
+    return read_written(spark, table, f"{folder}/{table}")
+
+
+def written_runs(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """As `written`, each event belonging to the run of its type: ids start with `type-`, repositories with `type/`."""
+    runs = dt.raw(spark, sf_dir).withColumns(
+        {
+            "id": F.concat("type", F.lit("-"), "id"),
+            "repo_name": F.concat("type", F.lit("/"), "repo_name"),
+        }
+    )
+    folder = _for_reading(spark, sf_dir, "runs", runs)
+    return read_written(spark, table, f"{folder}/{table}")
+
+
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid events of a twice delivered topic after streaming dedupe."""
     folder = working_folder(spark, "dedupe")

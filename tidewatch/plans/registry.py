@@ -346,7 +346,7 @@ def breakdown_share(spark, sf_dir):
 
 @query("top_contributors", _CONTRIBUTORS.format(repo=f"'{REPO}'"))
 def top_contributors(spark, sf_dir):
-    return activity.top_contributors(dt.raw(spark, sf_dir), REPO, 10)
+    return activity.top_contributors(landing.written(spark, sf_dir, "raw_events"), REPO, 10)
 
 
 @query("contributors_share", f"SELECT *, {_SHARE} FROM ({_CONTRIBUTORS.format(repo=repr(REPO))}) AS c")
@@ -356,12 +356,12 @@ def contributors_share(spark, sf_dir):
 
 @query("recent_events", _RECENT.format(where=f"WHERE repo_name = '{REPO}'", limit=50))
 def recent_events(spark, sf_dir):
-    return activity.recent_events(dt.raw(spark, sf_dir), REPO, 50)
+    return activity.recent_events(landing.written(spark, sf_dir, "raw_events"), REPO, 50)
 
 
 @query("latest_events", _RECENT.format(where="", limit=10))
 def latest_events(spark, sf_dir):
-    return activity.latest_events(dt.raw(spark, sf_dir), 10)
+    return activity.latest_events(landing.written(spark, sf_dir, "raw_events"), 10)
 
 
 @query(
@@ -370,7 +370,7 @@ def latest_events(spark, sf_dir):
     ORDER BY "timestamp" DESC, repo_name, event_type LIMIT 10""",
 )
 def latest_timeseries(spark, sf_dir):
-    return activity.latest_timeseries(dt.timeseries(spark, sf_dir), 10)
+    return activity.latest_timeseries(landing.written(spark, sf_dir, "events_timeseries"), 10)
 
 
 @query(
@@ -378,7 +378,7 @@ def latest_timeseries(spark, sf_dir):
     "SELECT hour, repo_name, event_type, count FROM hourly ORDER BY hour DESC, repo_name, event_type LIMIT 10",
 )
 def hourly_listing(spark, sf_dir):
-    return activity.hourly_listing(dt.hourly(spark, sf_dir), 10)
+    return activity.hourly_listing(landing.written(spark, sf_dir, "events_hourly"), 10)
 
 
 @query(
@@ -386,17 +386,17 @@ def hourly_listing(spark, sf_dir):
     f"SELECT event_type, CAST(sum(count) AS BIGINT) AS count FROM hourly WHERE repo_name = '{REPO}' GROUP BY event_type",
 )
 def repo_breakdown(spark, sf_dir):
-    return activity.repo_breakdown(dt.hourly(spark, sf_dir), REPO)
+    return activity.repo_breakdown(landing.written(spark, sf_dir, "events_hourly"), REPO)
 
 
 @query("repo_event_ids", f"SELECT id, type FROM raw WHERE repo_name = '{REPO}'")
 def repo_event_ids(spark, sf_dir):
-    return activity.repo_event_ids(dt.raw(spark, sf_dir), REPO)
+    return activity.repo_event_ids(landing.written(spark, sf_dir, "raw_events"), REPO)
 
 
 @query("event_by_id", f"SELECT id, type, repo_name, actor_name FROM raw WHERE id = '{EVENT_ID}'")
 def event_by_id(spark, sf_dir):
-    return activity.event_by_id(dt.raw(spark, sf_dir), EVENT_ID)
+    return activity.event_by_id(landing.written(spark, sf_dir, "raw_events"), EVENT_ID)
 
 
 @query(
@@ -411,14 +411,14 @@ def event_trend(spark, sf_dir):
 def top_repo_contributors(spark, sf_dir):
     start, as_of = dt.window(spark, sf_dir, 24)
     hourly = dt.hourly(spark, sf_dir, start)
-    return activity.top_repo_contributors(dt.raw(spark, sf_dir), hourly, as_of, 24, 10)
+    return activity.top_repo_contributors(landing.written(spark, sf_dir, "raw_events"), hourly, as_of, 24, 10)
 
 
 @query("top_repo_recent", _RECENT.format(where=f"WHERE repo_name = {_TOP_REPO}", limit=10))
 def top_repo_recent(spark, sf_dir):
     start, as_of = dt.window(spark, sf_dir, 24)
     hourly = dt.hourly(spark, sf_dir, start)
-    return activity.top_repo_recent(dt.raw(spark, sf_dir), hourly, as_of, 24, 10)
+    return activity.top_repo_recent(landing.written(spark, sf_dir, "raw_events"), hourly, as_of, 24, 10)
 
 
 @query(
@@ -430,7 +430,7 @@ def top_repo_recent(spark, sf_dir):
 )
 def dashboard_top_repo(spark, sf_dir):
     start, as_of = dt.window(spark, sf_dir, 24)
-    return dashboard(dt.raw(spark, sf_dir), dt.hourly(spark, sf_dir, start), as_of, 24, 10).as_rows()
+    return dashboard(landing.written(spark, sf_dir, "raw_events"), dt.hourly(spark, sf_dir, start), as_of, 24, 10).as_rows()
 
 
 # Audits
@@ -442,7 +442,7 @@ def duplicate_ids(spark, sf_dir):
 
 @query("id_summary", f"SELECT count(*) AS count, max(type) AS type FROM raw WHERE id = '{EVENT_ID}'")
 def id_summary(spark, sf_dir):
-    return audit.id_summary(dt.raw(spark, sf_dir), EVENT_ID)
+    return audit.id_summary(landing.written(spark, sf_dir, "raw_events"), EVENT_ID)
 
 
 @query(
@@ -452,7 +452,7 @@ def id_summary(spark, sf_dir):
     (SELECT count(*) FROM timeseries WHERE repo_name = '{REPO}') AS timeseries_rows""",
 )
 def repo_totals(spark, sf_dir):
-    return audit.repo_totals(dt.hourly(spark, sf_dir), dt.timeseries(spark, sf_dir), REPO)
+    return audit.repo_totals(landing.written(spark, sf_dir, "events_hourly"), landing.written(spark, sf_dir, "events_timeseries"), REPO)
 
 
 @query(
@@ -461,13 +461,8 @@ def repo_totals(spark, sf_dir):
     (SELECT count(*) FROM raw WHERE type || '/' || repo_name LIKE '{RUN}/%') AS hourly_count""",
 )
 def prefix_totals(spark, sf_dir):
-    runs = dt.raw(spark, sf_dir).withColumns(
-        {
-            "id": F.concat("type", F.lit("-"), "id"),
-            "repo_name": F.concat("type", F.lit("/"), "repo_name"),
-        }
-    )
-    return audit.prefix_totals(runs, rollup.hourly_partials(runs), RUN)
+    raw, hourly = (landing.written_runs(spark, sf_dir, table) for table in ("raw_events", "events_hourly"))
+    return audit.prefix_totals(raw, hourly, RUN)
 
 
 @query(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.schemas import POLL_INTERVAL
 from tidewatch.session import configure
+from tidewatch.sinks.store import TableStore, check_stream_id
+from tidewatch.streaming.monitor import JobMetrics, watch
 
 
 def _one_target(kafka: dict[str, str] | None, path: str | None) -> None:
@@ -30,11 +34,29 @@ def start_publishing(
     path: str | None = None,
     available_now: bool = False,
     interval: str = POLL_INTERVAL,
+    metrics: JobMetrics | None = None,
+    store: TableStore | None = None,
+    stream_id: str = "ingest",
 ) -> StreamingQuery:
-    """Publish a stream of (key, value) records."""
+    """Publish a stream of (key, value) records.
+
+    Its input rows, observed counts and source lag go to `metrics`, and with a
+    `store` each batch's samples are written there under `stream_id`.
+    """
     _one_target(kafka, path)
-    configure(records.sparkSession)
-    writer = records.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    check_stream_id(stream_id)
+    spark = configure(records.sparkSession)
+    metrics = metrics or JobMetrics()
+    after = None
+    if store is not None:
+        store.ensure(spark)
+
+        def after(batch_id: int) -> None:
+            store.write_batch(metrics.samples(spark), "metric_samples", stream_id, batch_id)
+
+    name = f"publish-{stream_id}-{uuid.uuid4().hex[:8]}"
+    watch(spark, name, metrics, after)
+    writer = records.writeStream.queryName(name).option("checkpointLocation", checkpoint).outputMode("append")
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     writer = writer.trigger(**trigger)
     if kafka is not None:

@@ -138,22 +138,18 @@ class TableStore:
         """One batch's partition, read without listing the rest of the table."""
         return spark.read.schema(_batch_schema(table)).parquet(self.batch_path(table, stream_id, batch_id))
 
-    def write_batch(
-        self, rows: DataFrame, table: str, stream_id: str, batch_id: int, many_days: bool = False
-    ) -> None:
+    def write_batch(self, rows: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
         """Replace one batch's partition, rows sorted for the reads the table serves.
 
-        A batch of `many_days` (a catch-up) is first gathered by day, else
-        every task would write a small file for every day. The rebalance
-        splits a day that is too large for one task.
+        Rows are first gathered by day, else every task would write a small
+        file for every day. The rebalance splits a day that is too large for
+        one task and joins small ones.
         """
         path = self.batch_path(table, stream_id, batch_id)
         if table not in DAY_SOURCE:
             rows.write.mode("overwrite").parquet(path)
             return
-        by_day = rows.withColumn("dt", F.col(DAY_SOURCE[table]).cast("date"))
-        if many_days:
-            by_day = by_day.hint("rebalance", "dt")
+        by_day = rows.withColumn("dt", F.col(DAY_SOURCE[table]).cast("date")).hint("rebalance", "dt")
         by_day.sortWithinPartitions("dt", *TABLE_SORT[table]).write.mode("overwrite").partitionBy(
             "dt"
         ).parquet(path)
@@ -183,6 +179,11 @@ def write_for_reading(rows: DataFrame, table: str, path: str) -> None:
     writer.parquet(path)
 
 
+def read_written(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """A table that `write_for_reading` wrote."""
+    return spark.read.schema(_batch_schema(table)).parquet(path)
+
+
 def archive_batches(
     spark: SparkSession, store: TableStore, stream_id: str, last_committed: int, root: str
 ) -> TableStore:

@@ -26,7 +26,7 @@ from tidewatch.operators.rollup import hourly_partials, timeseries_rows
 from tidewatch.schemas import BATCH_INTERVAL, EVENT_COLUMNS, RETRY_DELAYS
 from tidewatch.session import configure
 from tidewatch.sinks.store import TableStore, check_stream_id
-from tidewatch.streaming.monitor import JobMetrics
+from tidewatch.streaming.monitor import JobMetrics, watch
 from tidewatch.streaming.retry import RetriesExhausted, with_retry
 
 # A batch's ids are broadcast to the raw scan only up to this many bytes;
@@ -52,10 +52,6 @@ class BatchStats:
     first_day: date | None
     last_day: date | None
 
-    @property
-    def many_days(self) -> bool:
-        return self.valid > 0 and (self.last_day - self.first_day).days > 1
-
     @property
     def ids_fit_broadcast(self) -> bool:
         return self.id_bytes + self.valid * ID_OVERHEAD_BYTES <= BROADCAST_ID_BYTES
@@ -171,7 +167,7 @@ class FanOut:
         ).select(*EVENT_COLUMNS)
         try:
             new = insert_if_absent(events, self._stored_ids(parsed, stats, batch_id))
-            self._write(new, "raw_events", batch_id, stats.many_days)
+            self._write(new, "raw_events", batch_id)
         finally:
             self.metrics.observe("raw_write_duration_seconds", time.monotonic() - raw_started)
 
@@ -201,8 +197,8 @@ class FanOut:
         if self.on_dead_letters is not None:
             self.on_dead_letters(refused, batch_id)
 
-    def _write(self, rows: DataFrame, table: str, batch_id: int, many_days: bool = False) -> None:
-        self.store.write_batch(rows, table, self.stream_id, batch_id, many_days)
+    def _write(self, rows: DataFrame, table: str, batch_id: int) -> None:
+        self.store.write_batch(rows, table, self.stream_id, batch_id)
 
 
 def start_fan_out(
@@ -212,13 +208,19 @@ def start_fan_out(
     available_now: bool = False,
     interval: str = BATCH_INTERVAL,
 ) -> StreamingQuery:
-    """Start the storage job over a stream of topic messages."""
+    """Start the storage job over a stream of topic messages.
+
+    Its input rows and source lag go to `job.metrics`, and with those to the
+    store's samples of the next batch.
+    """
     job.store.ensure(configure(messages.sparkSession))
+    name = f"fan-out-{job.stream_id}"
+    watch(messages.sparkSession, name, job.metrics)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
         messages.writeStream.foreachBatch(job.process)
         .option("checkpointLocation", checkpoint)
-        .queryName(f"fan-out-{job.stream_id}")
+        .queryName(name)
         .trigger(**trigger)
         .start()
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,11 @@ class JobMetrics:
 
 
 def _offsets(text) -> dict:
-    offsets = json.loads(text) if isinstance(text, str) else (text or {})
+    """A source's offsets; empty where they are no JSON object, as those of file sources may be."""
+    try:
+        offsets = json.loads(text) if isinstance(text, str) else (text or {})
+    except ValueError:
+        return {}
     return offsets if isinstance(offsets, dict) else {}
 
 
@@ -72,16 +77,30 @@ def source_lag(start_or_end: str | dict | None, latest: str | dict | None) -> in
 
 
 class ProgressListener(StreamingQueryListener):
-    """Copies a job's progress into its metrics: input rows, observed counts, duration, source lag."""
+    """Copies the progress of the query called `name` into its metrics: input rows, observed counts, duration, source lag.
 
-    def __init__(self, metrics: JobMetrics) -> None:
+    Other queries of the session are left out; once the query ends the
+    listener takes itself off. `after` is called with the number of each batch
+    that was copied.
+    """
+
+    def __init__(
+        self, spark: SparkSession, name: str, metrics: JobMetrics, after: Callable[[int], None] | None = None
+    ) -> None:
+        self.spark = spark
+        self.name = name
         self.metrics = metrics
+        self.after = after
+        self.run_id: str | None = None
 
     def onQueryStarted(self, event) -> None:
-        pass
+        if event.name == self.name:
+            self.run_id = str(event.runId)
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
+        if str(progress.runId) != self.run_id:
+            return
         self.metrics.add("input_rows_total", progress.numInputRows)
         for observed in progress.observedMetrics.values():
             for metric, amount in observed.asDict().items():
@@ -91,9 +110,21 @@ class ProgressListener(StreamingQueryListener):
         known = [lag for lag in lags if lag is not None]
         if known:
             self.metrics.set("consumer_lag", sum(known))
+        if self.after is not None:
+            self.after(progress.batchId)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        if str(event.runId) == self.run_id:
+            self.spark.streams.removeListener(self)
+
+
+def watch(
+    spark: SparkSession, name: str, metrics: JobMetrics, after: Callable[[int], None] | None = None
+) -> ProgressListener:
+    """Follow the query that is started next under `name`."""
+    listener = ProgressListener(spark, name, metrics, after)
+    spark.streams.addListener(listener)
+    return listener
