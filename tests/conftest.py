@@ -33,7 +33,7 @@ def utc(*parts):
     return datetime(*parts, tzinfo=timezone.utc)
 
 
-def raw_json(id="1", type="PushEvent", repo="owner/repo", actor="octocat", at="2026-05-05T01:02:03Z"):
+def raw_json(id="1", type="PushEvent", repo="tide/pool", actor="heron", at="2026-03-09T17:28:39Z"):
     return (
         f'{{"id":"{id}","type":"{type}","repo":{{"name":"{repo}"}},'
         f'"actor":{{"login":"{actor}"}},"created_at":"{at}"}}'

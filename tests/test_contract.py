@@ -14,11 +14,11 @@ def reasons(spark, values):
 
 
 def test_valid_event_keeps_every_field_and_the_exact_payload(spark):
-    text = '{"id":"123", "type":"PushEvent","repo":{"name":"owner/repo"},"actor":{"login":"octocat"},"created_at":"2026-05-05T01:02:03Z","n":1.50}'
+    text = '{"id":"8841", "type":"ForkEvent","repo":{"name":"tide/pool"},"actor":{"login":"heron"},"created_at":"2026-03-09T17:28:39Z","n":1.50}'
     row = valid_events(parse_events(messages(spark, [text]))).first()
-    assert (row.id, row.type, row.repo_name, row.actor_name) == ("123", "PushEvent", "owner/repo", "octocat")
+    assert (row.id, row.type, row.repo_name, row.actor_name) == ("8841", "ForkEvent", "tide/pool", "heron")
     assert row.payload == text
-    assert row.created_at.timestamp() == utc(2026, 5, 5, 1, 2, 3).timestamp()
+    assert row.created_at.timestamp() == utc(2026, 3, 9, 17, 28, 39).timestamp()
 
 
 CASES = {

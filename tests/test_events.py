@@ -36,8 +36,8 @@ def test_insert_if_absent_what_is_stored_wins(spark):
 
 
 def test_publish_key_is_the_repo_and_value_the_payload(spark):
-    frame = events(spark, [("1", "PushEvent", "owner/repo", "a", AT)])
-    assert tuples(publish_keyed(frame)) == [("owner/repo", "{}")]
+    frame = events(spark, [("1", "PushEvent", "tide/pool", "a", AT)])
+    assert tuples(publish_keyed(frame)) == [("tide/pool", "{}")]
 
 
 def test_sequence_across_ranges_matches_plain_numbering(spark, monkeypatch):

@@ -293,7 +293,7 @@ def test_tables_by_name_in_a_catalog(spark, place):
         store.ensure_catalog(spark, "activity_test")
         store.ensure_catalog(spark, "activity_test")
         spark.sql("MSCK REPAIR TABLE activity_test.raw_events")
-        assert tuples(spark.sql("SELECT id, repo_name FROM activity_test.raw_events")) == [("1", "owner/repo")]
+        assert tuples(spark.sql("SELECT id, repo_name FROM activity_test.raw_events")) == [("1", "tide/pool")]
     finally:
         spark.sql("DROP DATABASE IF EXISTS activity_test CASCADE")
 

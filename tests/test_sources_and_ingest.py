@@ -112,7 +112,7 @@ def test_ingest_filters_before_dedupe_and_publishes_once(spark, tmp_path, salt):
     (landed / "b.json").write_text("[" + ",".join([raw_json("2", "WatchEvent"), raw_json("3", "ForkEvent")]) + "]")
     stream = stream_snapshots(spark, str(landed), max_files=1)
     got = ingest(spark, tmp_path, stream, salt_buckets=salt)
-    assert [(key, json.loads(value)["id"]) for key, value in got] == [("owner/repo", "1"), ("owner/repo", "2"), ("owner/repo", "3")]
+    assert [(key, json.loads(value)["id"]) for key, value in got] == [("tide/pool", "1"), ("tide/pool", "2"), ("tide/pool", "3")]
     assert {json.loads(value)["type"] for _, value in got} == {"PushEvent", "WatchEvent", "ForkEvent"}
 
 

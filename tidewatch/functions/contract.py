@@ -32,6 +32,7 @@ _SEALED_SCHEMA = f"array<struct<{_EVENT_FIELDS}, seal: bigint>>"
 _STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+# The wording of reasons, which dead letters carry.
 def missing(field: str) -> str:
     return f"missing required field {field}"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+# The wording of refused arguments, "invalid <name>" and "<name> is required".
 _INTEGER = re.compile(r"[+-]?[0-9]+")
 
 
