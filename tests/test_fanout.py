@@ -292,8 +292,11 @@ def test_tables_by_name_in_a_catalog(spark, place):
     try:
         store.ensure_catalog(spark, "activity_test")
         store.ensure_catalog(spark, "activity_test")
-        spark.sql("MSCK REPAIR TABLE activity_test.raw_events")
         assert tuples(spark.sql("SELECT id, repo_name FROM activity_test.raw_events")) == [("1", "tide/pool")]
+        land(spark, place, [raw_json("2")], start=1)
+        run(spark, place)
+        store.refresh_catalog(spark, "activity_test")
+        assert spark.table("activity_test.raw_events").count() == spark.table("activity_test.events_timeseries").count() == 2
     finally:
         spark.sql("DROP DATABASE IF EXISTS activity_test CASCADE")
 

@@ -92,7 +92,7 @@ class TableStore:
             empty.write.mode("ignore").partitionBy("stream_id", "batch_id", *days).parquet(self.path(table))
 
     def ensure_catalog(self, spark: SparkSession, database: str) -> None:
-        """Register the tables in a catalog database, so SQL can name them."""
+        """Register the tables in a catalog database, so SQL can name them, with the batches written so far."""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         for table, schema in TABLE_SCHEMAS.items():
             days = ", dt" if table in DAY_SOURCE else ""
@@ -100,6 +100,12 @@ class TableStore:
                 f"CREATE TABLE IF NOT EXISTS `{database}`.{table} ({schema}) USING parquet "
                 f"PARTITIONED BY (stream_id, batch_id{days}) LOCATION '{self.path(table)}'"
             )
+        self.refresh_catalog(spark, database)
+
+    def refresh_catalog(self, spark: SparkSession, database: str) -> None:
+        """Let the catalog find the batches written since; one listing of every table."""
+        for table in TABLE_SCHEMAS:
+            spark.sql(f"MSCK REPAIR TABLE `{database}`.{table}")
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """A stored table, empty before the first batch. Archived rows have no `batch_id`."""
