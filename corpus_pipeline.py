@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import exact_dedup, mixing, pieces, queries, simhash, toxicity
+from tidewatch.llm import exact_dedup, mixing, near_copies, pieces, queries, toxicity
 from tidewatch.llm.common import WORD, stored, text_or_empty
 
 NEAR_BITS = 8
@@ -23,12 +23,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near fingerprints, the one of the smallest id.
+    """One document of each component of near copies, the one of the smallest id.
 
-    Texts that share four fifths of their five-word shingles differ in some
-    more bits than the four of the operator's usual distance.
+    Near copies share four fifths of their five-word shingles. Fingerprints
+    within NEAR_BITS and min-hash bands name candidates only; whole texts
+    decide before anything is linked.
     """
-    return simhash.one_of_each(docs, shingle=5, distance=NEAR_BITS)
+    return near_copies.one_of_each(docs, shingle=5, distance=NEAR_BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
