@@ -92,7 +92,7 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(name).alias("name"), F.array(*map(F.lit, b)).alias("b")) for i, name, b in known])
 
     base = computed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), plain=F.regexp_replace(F.lower(text_or_empty("text")), PARTS, " "))
-    base = computed(base, flat=F.translate("plain", "\n", " "))
+    base = computed(base, flat=F.regexp_replace("plain", r"[ \n]+", " "))
     flat = F.col("flat")
     some = F.lit(False)
     for a in wanted:
