@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import (
     exact_dedup,
+    fingerprints,
     hnsw,
     licences,
     mixing,
@@ -75,6 +76,19 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_chunks", "n_tokens", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.half_edited(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -86,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_pieces": op10_pieces,
+    "op11_fingerprints": op11_fingerprints,
 }
 
 ORACLE_SQL = {
@@ -96,4 +111,5 @@ ORACLE_SQL = {
         FROM d WINDOW w AS (PARTITION BY t)
     """,
     "op3_licences": licences.oracle(),
+    "op11_fingerprints": fingerprints.oracle(),
 }
