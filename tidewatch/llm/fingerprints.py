@@ -84,9 +84,14 @@ def distinct_shingles(a: Column, k: int = K) -> Column:
 
 
 def containment(a: Column, b: Column, k: int = K) -> Column:
-    """The estimated share of the first text's shingles that the second one has; nothing is contained in anything."""
-    both = resemblance(a, b, k) * distinct_shingles(merged(a, b, k), k)
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), both / distinct_shingles(a, k)))
+    """The estimated share of the first text's shingles that the second one has.
+
+    Taken over the first sketch's hashes up to where both sketches are whole;
+    null where there is none, 1 for an empty first sketch.
+    """
+    top = F.least(*[F.when(F.size(s) >= k, F.get(s, k - 1)).otherwise(F.lit((1 << 63) - 1)) for s in (a, b)])
+    seen = F.filter(a, lambda h: h <= top)
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(seen, b)) / F.nullif(F.size(seen), F.lit(0)))
 
 
 def as_text(hashes: Column) -> Column:

@@ -13,12 +13,14 @@ from tidewatch.llm import (
     hnsw,
     licences,
     mixing,
+    periodic_runs,
     pieces,
     pseudonyms,
     simhash,
     site_quality,
     token_files,
     toxicity,
+    whitening,
 )
 
 
@@ -89,6 +91,26 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.repeated_tails(table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", periodic_runs.best_run(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -101,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pseudonyms": op9_pseudonyms,
     "op10_pieces": op10_pieces,
     "op11_fingerprints": op11_fingerprints,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
