@@ -28,6 +28,11 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
+def packed(docs: DataFrame) -> Column:
+    """A caller's whole row as one struct, so that no column of it can clash with a name used beside it."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Connected components of an undirected graph: (node, label), label the smallest node of the component.
 

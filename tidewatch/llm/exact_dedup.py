@@ -73,15 +73,17 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """`docs`, all its columns, without the rows whose text a row of smaller id has.
 
     Rows that repeat both id and text, and rows without an id, are reduced to
-    one row per text.
+    one row per text: that of the smallest hash of its other columns. Null
+    counts as empty. Columns may have any names; an empty table gives an empty
+    one.
     """
     text = normalised(text_col)
     same = F.col(text_col).eqNullSafe(text)
-    keyed = docs.withColumns({"_text": text, "_hash": hash_128(text), "_sha": F.sha2(text, 256), "_same": same})
     # The group's key already carries the text: rows whose text equals it carry none.
-    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    row = F.struct("_same", F.when(~F.col("_same"), F.col(text_col)).alias("_raw"), *others)
-    smallest = F.struct(F.col(id_col).isNull(), F.col(id_col), "_same", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    kept = keyed.groupBy("_hash", "_sha", "_text").agg(F.min_by(row, smallest).alias("_row"))
-    back = F.when(F.col("_row._same"), F.col("_text")).otherwise(F.col("_row._raw")).alias(text_col)
-    return kept.select(*[back if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns])
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]
+    row = F.struct(same.alias("same"), F.when(~same, F.col(text_col)).alias("raw"), *others)
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), same, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    keyed = docs.select(text.alias("text"), hash_128(text).alias("hash"), F.sha2(text, 256).alias("sha"), row.alias("row"), order.alias("place"))
+    kept = keyed.groupBy("hash", "sha", "text").agg(F.min_by("row", "place").alias("row"))
+    back = F.when(F.col("row.same"), F.col("text")).otherwise(F.col("row.raw")).alias(text_col)
+    return kept.select(*[back if c == text_col else F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -16,6 +16,7 @@ BLOCK_WORDS = 128
 SHARD_WORDS = 131_072
 SHARD_ROWS = 4096
 BRANCH = 1024
+LEAST_BLOCKS = 16
 
 
 def words(column: str) -> Column:
@@ -90,10 +91,11 @@ def sainte_lague(children: DataFrame, parent: Sequence[str], key: Sequence[str])
     return base.join(change, both, "left").select(*children.columns, quota)
 
 
-def _taken(seed: int, block_words: int):
+def _taken(seed: int):
     def taken(rows: pd.DataFrame) -> pd.DataFrame:
         """Words taken of each document of one shard: `quota` of its blocks, whole rounds first, then seeded ones."""
         rows = rows.sort_values(["_order", "doc_id", "size"], kind="stable", ignore_index=True)
+        block_words = int(rows["block"].iloc[0])
         ends = rows["size"].to_numpy(np.int64).cumsum()
         starts = ends - rows["size"].to_numpy(np.int64)
         total, quota = int(ends[-1]), int(rows["quota"].iloc[0])
@@ -144,36 +146,44 @@ def mix(
 
     A source is cut into shards of about `shard_words` words by a seeded hash;
     a shard's documents in seeded order make blocks of `block_words` words.
-    Sainte-Laguë deals the mix's blocks to sources by target, and a source's
-    blocks down a tree of shards by size, never more than `BRANCH` children at
-    a time. A shard takes all its blocks for each whole round of its quota and
+    Blocks of a source whose target is under `LEAST_BLOCKS` of them are halved
+    until it has as many, so that it comes as near to its target as others.
+    Sainte-Laguë deals the mix's blocks of each size to sources by target, and
+    a source's blocks down a tree of shards by size, never more than `BRANCH`
+    children at a time. A shard takes all its blocks for each whole round of its quota and
     a seeded choice of them for the rest: `rounds` whole copies of the document
     and the word ranges `spans` ("0-128 256-300"), which add up to `taken`.
 
     Null text has size 0, null source is a source of its own, ids may be null
-    or repeat (each row counts by itself). Other columns aren't read. An empty
+    or repeat (each row counts by itself, and equal rows are spread over shards
+    like others). Rows without words take part in no shard. Other columns aren't read. An empty
     table gives an empty one. The same rows give the same choice, in whatever
     order or partitions they come.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(text_col).alias("size"), F.xxhash64(text_or_empty(text_col)).alias("_row"))
-    base = stored(base.withColumn("_order", F.xxhash64("doc_id", "_row", F.lit(seed))), "sizes")
-    sources = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+    # Equal rows are counted inside tasks, then numbered, so that each has a place of its own.
+    base = base.groupBy("doc_id", "source", "size", "_row").agg(F.count(F.lit(1)).alias("_copies"))
+    base = base.select("doc_id", "source", "size", "_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    order = F.when(F.col("_copy") > 1, F.xxhash64("doc_id", "_row", F.lit(seed), "_copy")).otherwise(F.xxhash64("doc_id", "_row", F.lit(seed)))
+    base = stored(base.withColumn("_order", order).drop("_copy"), "sizes")
+    sources = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("_rows"))
     sources = source_targets(sources, weights, share, most)
-    total = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    halved = [F.lit(block_words >> i) for i in range(block_words.bit_length())]
+    block = F.coalesce(*[F.when(F.col("target") >= LEAST_BLOCKS * b, b) for b in halved], F.lit(1))
+    sources = sources.withColumn("block", block)
     sources = sources.withColumns(
         {
             "votes": F.col("target"),
-            "seats": F.round(F.sum("target").over(total) / block_words).cast("long"),
-            "_whole": F.lit(0),
+            "seats": F.round(F.sum("target").over(W.partitionBy("block")) / F.col("block")).cast("long"),
             "_shards": F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("_rows") / SHARD_ROWS)).cast("long"),
         }
     )
-    sources = stored(sainte_lague(sources, ["_whole"], ["source"]).drop("votes", "seats", "_whole"), "sources")
+    sources = stored(sainte_lague(sources, ["block"], ["source"]).drop("votes", "seats"), "sources")
 
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    shards = sources.select(F.col("source").alias("_of"), "_shards")
-    placed = base.join(shards, F.col("source").eqNullSafe(F.col("_of"))).withColumn("_shard", F.pmod("_order", "_shards"))
-    sized = placed.groupBy("source", "_shard").agg(F.sum("size").cast("double").alias("votes"))
+    shards = sources.select(F.col("source").alias("_of"), "_shards", "block")
+    placed = base.where("size > 0").join(shards, F.col("source").eqNullSafe(F.col("_of"))).withColumn("_shard", F.pmod("_order", "_shards"))
+    sized = placed.groupBy("source", "_shard").agg(F.sum("size").cast("double").alias("votes"), F.first("block").alias("block"))
     sized = stored(sized, "shards")
     depth, widest = 1, sources.agg(F.max("_shards")).first()[0] or 1
     while widest > BRANCH**depth:
@@ -190,13 +200,15 @@ def mix(
     quota = parents.select(F.col("source").alias("_of"), F.col("_node").alias("_at"), F.col("seats").alias("quota"))
     with_quota = placed.join(quota, [placed["source"].eqNullSafe(quota["_of"]), placed["_shard"] == quota["_at"]])
     # No shard gives more than its words `most` times, whatever rounding says.
-    sums = sized.select(F.col("source").alias("_src"), F.col("_shard").alias("_sh"), F.floor(most * F.ceil(F.col("votes") / block_words)).cast("long").alias("_cap"))
+    sums = sized.select(F.col("source").alias("_src"), F.col("_shard").alias("_sh"), F.floor(most * F.ceil(F.col("votes") / F.col("block"))).cast("long").alias("_cap"))
     with_quota = with_quota.join(sums, [with_quota["source"].eqNullSafe(sums["_src"]), with_quota["_shard"] == sums["_sh"]])
-    with_quota = with_quota.select("_row", F.col("doc_id").cast("string").alias("doc_id"), "source", "size", "_order", "_shard", F.least("quota", "_cap").alias("quota"))
+    with_quota = with_quota.select("_row", F.col("doc_id").cast("string").alias("doc_id"), "source", "size", "_order", "_shard", with_quota["block"], F.least("quota", "_cap").alias("quota"))
     # Ids travel as text: pandas would make floats of whole numbers beside nulls.
     source_kind = docs.schema[source_col].dataType.simpleString()
     schema = f"_row long, doc_id string, source {source_kind}, size long, taken long, rounds long, spans string"
-    taken = with_quota.groupBy("source", "_shard").applyInPandas(_taken(seed, block_words), schema)
+    taken = with_quota.groupBy("source", "_shard").applyInPandas(_taken(seed), schema)
+    none = base.where("size = 0").select("_row", F.col("doc_id").cast("string").alias("doc_id"), "source", "size", F.lit(0).cast("long").alias("taken"), F.lit(0).cast("long").alias("rounds"), F.lit("").alias("spans"))
+    taken = taken.unionByName(none)
     named = sources.select(F.col("source").alias("_of"), "source_size", "target")
     found = taken.join(named, taken["source"].eqNullSafe(F.col("_of")))
     doc_id = F.col("doc_id").cast(docs.schema[id_col].dataType).alias("doc_id")

@@ -6,15 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import simhash
-from tidewatch.llm.common import components, stored, text_or_empty
+from tidewatch.llm.common import components, packed, stored, text_or_empty
 
 BANDS = 20
 ROWS = 4
 GROUP_ROWS = 256
+# Bands whose groups are compared before those of all others.
+FIRST_BANDS = 6
+# Shingle hashes of one tile's texts, about: 16 MB.
+TILE_HASHES = 1 << 21
 DICE = np.random.default_rng(8)
 SPINS = DICE.integers(0, 2**63, (BANDS * ROWS, 1), dtype=np.uint64)
 ODDS = DICE.integers(0, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
@@ -42,7 +46,7 @@ def bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, text, node, fp, keys, hashes): node is the hash of the shingle set, `text` that of the text."""
+    """(doc_id, text, node, fp, size, keys): node is the hash of the set of `size` shingles, `text` that of the text."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -54,14 +58,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
                 sets = [shingles(x, shingle) for x in texts]
                 nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
                 prints = np.array([simhash.simhash(x, shingle) for x in texts], np.uint64).view(np.int64)
-                keys = [bands(s).view(np.int64) for s in sets]
-                columns = [part.column(0), part.column(1), pa.array(nodes), pa.array(prints)]
-                columns += [pa.array(x, pa.list_(pa.int64())) for x in (keys, [s.view(np.int64) for s in sets])]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "node", "fp", "keys", "hashes"])
+                keys = pa.array([bands(s).view(np.int64) for s in sets], pa.list_(pa.int64()))
+                sizes = pa.array([len(s) for s in sets], pa.int64())
+                columns = [part.column(0), part.column(1), pa.array(nodes), pa.array(prints), sizes, keys]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "node", "fp", "size", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("hash"), F.col(text_col).cast("string").alias("text"))
-    return given.mapInArrow(signed, f"doc_id {kind}, text bigint, node bigint, fp bigint, keys array<bigint>, hashes array<bigint>")
+    return given.mapInArrow(signed, f"doc_id {kind}, text bigint, node bigint, fp bigint, size bigint, keys array<bigint>")
 
 
 def alike(values: np.ndarray, sizes: np.ndarray, asks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,17 +88,16 @@ def alike(values: np.ndarray, sizes: np.ndarray, asks: np.ndarray, percent: int)
     return pairs[0], pairs[1]
 
 
-def _forests(rows: DataFrame, percent: int) -> DataFrame:
-    """Edges (u, v) that connect what is alike inside the groups of rows (band, key, tile, other, ask, node, hashes)."""
+def _forests(rows: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Edges (u, v) that connect what is alike inside the groups of rows (band, key, tile, other, ask, node, text)."""
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def edges(group: pa.RecordBatch) -> pa.RecordBatch:
             asks, nodes = (group.column(i).to_numpy() for i in (4, 5))
-            lists = group.column(6)
-            values = lists.flatten().to_numpy()
-            u, v = alike(values, np.diff(lists.offsets.to_numpy()), asks != 0, percent)
+            sets = [shingles(x.as_py(), shingle) for x in group.column(6)]
+            u, v = alike(np.concatenate(sets), np.array([len(s) for s in sets]), asks != 0, percent)
             labels = simhash._merge(np.arange(len(nodes)), u, v)
             moved = np.flatnonzero(labels != np.arange(len(nodes)))
             return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[labels[moved]])], names=["u", "v"])
@@ -110,44 +113,64 @@ def _forests(rows: DataFrame, percent: int) -> DataFrame:
             yield edges(held[0])
 
     ordered = rows.repartition(*KEY).sortWithinPartitions(*KEY, "ask", "node")
-    ordered = ordered.select(*[F.col(c).cast("bigint") for c in (*KEY, "ask", "node")], "hashes")
+    ordered = ordered.select(*[F.col(c).cast("bigint") for c in (*KEY, "ask", "node")], "text")
     return ordered.mapInArrow(linked, "u bigint, v bigint")
 
 
-def verified_components(signed: DataFrame, distance: int, percent: int, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(node, label): components of shingle sets under links of `percent` similarity or more.
+def _digest(node: str) -> list[Column]:
+    """128 bits that name a set of distinct nodes, added up inside tasks."""
+    return [F.bit_xor(F.xxhash64(node, F.lit(seed))).alias(f"digest{seed}") for seed in (1, 2)]
 
-    Candidates share a component of near fingerprints or a min-hash band; each
-    pair of such a group is decided on its whole sets. Groups of over
-    `group_rows` are cut into tiles. Pairs inside tiles come first; then only
-    sets outside their group's largest verified component meet the other
-    tiles, since links inside a component change nothing.
-    """
+
+def _groups(signed: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
+    """(band, key, node, size, rows, hashes): candidate groups of two nodes or more, one of those with the same members."""
     near = simhash.link_components(signed.select("fp").distinct(), distance).withColumnRenamed("node", "fp")
-    by_print = signed.select("fp", "node").join(near, "fp").select(F.lit(BANDS).alias("band"), F.col("label").alias("key"), "node")
+    by_print = signed.select("fp", "node", "size").join(near, "fp").select(F.lit(BANDS).alias("band"), F.col("label").alias("key"), "node", "size")
     # Texts without words have no shingles; they are one node.
-    by_band = signed.where(F.size("hashes") > 0).select(F.posexplode("keys").alias("band", "key"), "node")
-    keyed = stored(by_band.union(by_print).distinct(), "candidates")
-    groups = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    members = keyed.join(groups, ["band", "key"]).withColumn("tiles", F.ceil(F.col("rows") / group_rows))
+    by_band = nodes.where("size > 0").select(F.posexplode("keys").alias("band", "key"), "node", "size")
+    keyed = by_band.union(by_print.distinct())
+    counted = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("hashes"), *_digest("node"))
+    # The same members usually share several bands, and are compared once.
+    first = F.min(F.struct("band", "key")).alias("first")
+    once = counted.where("rows > 1").groupBy("rows", "hashes", "digest1", "digest2").agg(first)
+    once = once.select("first.*", "rows", "hashes")
+    return stored(keyed.join(once, ["band", "key"]), "candidate-groups")
+
+
+def _compare(members: DataFrame, labels: DataFrame | None, texts: DataFrame, percent: int, shingle: int, group_rows: int) -> DataFrame:
+    """Edges that connect what is alike in the groups of `members`, as far as `labels` do not connect it yet.
+
+    Only ids make up the groups; a text joins when its tiles are known, once
+    for each. A group is cut into tiles of about `group_rows` texts and
+    TILE_HASHES shingles at most. Pairs inside tiles come first; then only
+    nodes outside their group's largest component meet the other tiles, since
+    links inside a component change nothing.
+    """
+    if labels is not None:
+        members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = members.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+        members = members.join(mixed.select("band", "key"), ["band", "key"]).drop("label")
     spot = F.xxhash64("node", F.lit(7))
-    members = stored(members.withColumn("tile", F.pmod(spot, "tiles")), "candidate-members")
-    wanted = members.select("node").distinct()
-    sets = signed.select("node", "hashes").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes"))
-    sets = stored(sets, "candidate-sets")
+    tiles = F.ceil(F.greatest(F.col("rows") / group_rows, F.col("hashes") / TILE_HASHES))
+    members = members.withColumn("tiles", tiles).withColumn("tile", F.pmod(spot, "tiles"))
+    members = stored(members.select("band", "key", "node", "size", "tiles", "tile"), "candidate-members")
+
+    def found(placed: DataFrame, name: str) -> DataFrame:
+        return stored(_forests(texts.join(placed, "node"), percent, shingle).distinct(), name)
 
     plain = members.select("band", "key", "tile", F.lit(0).alias("other"), F.lit(0).alias("ask"), "node")
-    edges = stored(_forests(plain.join(sets, "node"), percent).distinct(), "verified")
-    labels = components(edges)
+    edges = found(plain, "verified")
     large = members.where("tiles > 1")
     if not large.limit(1).count():
-        return labels
+        return edges
 
-    inside = stored(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "large-members")
+    known = components(edges if labels is None else edges.union(labels.select("node", "label")))
+    inside = stored(large.join(known, "node", "left").withColumn("label", F.coalesce("label", "node")), "large-members")
     counted = inside.groupBy("band", "key", "label").count()
     most = counted.groupBy("band", "key").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
     outside = inside.join(most, ["band", "key"]).where("label != most")
-    parts = stored(outside.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("parts")), "outside-parts")
+    many = F.ceil(F.greatest(F.count(F.lit(1)) / group_rows, F.sum("size") / TILE_HASHES))
+    parts = stored(outside.groupBy("band", "key").agg(many.alias("parts")), "outside-parts")
     asks = (
         outside.join(parts, ["band", "key"])
         .withColumn("other", F.pmod(spot, "parts"))
@@ -159,17 +182,52 @@ def verified_components(signed: DataFrame, distance: int, percent: int, group_ro
         .withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
         .select("band", "key", "tile", "other", F.lit(0).alias("ask"), "node")
     )
-    across = stored(_forests(asks.union(entries).join(sets, "node"), percent).distinct(), "verified-across")
-    return components(edges.union(across))
+    return edges.union(found(asks.union(entries), "verified-across"))
+
+
+def verified_components(given: DataFrame, signed: DataFrame, shingle: int, distance: int, percent: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(node, label): components of shingle sets under links of `percent` similarity or more; `given` has doc_id, hash, text.
+
+    Candidates share a component of near fingerprints or a min-hash band; each
+    pair of such a group is decided on its whole sets. The fingerprints and
+    the first bands are compared first, which connects most copies; of the
+    other bands only groups that still hold more than one component are.
+    """
+    same = F.first(F.struct("keys", "size")).alias("of")
+    nodes = signed.groupBy("node").agg(same, F.min(F.struct("doc_id", "text")).alias("first"))
+    nodes = stored(nodes.select("node", "of.*", F.col("first.doc_id").alias("doc_id"), F.col("first.text").alias("hash")), "shingle-sets")
+    groups = _groups(signed, nodes, distance)
+    # The candidates' texts are read where they lie; which of them are wanted is sent to them while that is small.
+    wanted = nodes.select("node", "doc_id", "hash").join(groups.select("node").distinct(), "node", "left_semi")
+    wanted = stored(wanted.select("node", F.col("doc_id").alias("of_doc"), F.col("hash").alias("of_text")), "candidates")
+    texts = given.join(wanted, given["doc_id"].eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_text"))).select("node", "text")
+    early = (F.col("band") == BANDS) | (F.col("band") < FIRST_BANDS)
+    edges = _compare(groups.where(early), None, texts, percent, shingle, group_rows)
+    labels = components(edges)
+    return components(edges.union(_compare(groups.where(~early), labels, texts, percent, shingle, group_rows)))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 8, percent: int = 80, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """`docs` with the row of the smallest id of each component only (a row without an id stays if none has one)."""
+    """`docs`, all its columns, with one row of each component: that of the smallest id.
+
+    A row without an id stays only if no row of its component has one; of rows
+    that repeat the id, the one of the smallest text hash, then of the
+    smallest row hash stays. Texts of fewer words than a shingle are one
+    shingle; null and empty texts, and texts of white space, have none and are
+    copies of each other. Texts are compared whole, whatever their length.
+    Columns may have any names; an empty table gives an empty one.
+    """
+    text = text_or_empty(text_col)
+    given = docs.select(packed(docs).alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     signed = stored(signatures(docs, id_col, text_col, shingle), "signatures")
-    labels = verified_components(signed, distance, percent, group_rows)
+    twice = signed.groupBy(F.col("doc_id").alias("of_doc"), F.col("text").alias("of_text")).count().where("count > 1")
+    twice = stored(twice.drop("count"), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_text"))
+    if twice.limit(1).count():
+        one = given.join(twice, same, "left_semi").groupBy("doc_id", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"), F.first("text").alias("text"))
+        given = stored(given.join(twice, same, "left_anti").unionByName(one), "distinct-rows")
+    labels = verified_components(given, signed, shingle, distance, percent, group_rows)
     named = signed.select("doc_id", "text", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    first = named.groupBy("label").agg(F.min("doc_id").alias("first"))
-    kept = named.join(first, "label").where(F.col("first").isNull() | (F.col("doc_id") == F.col("first")))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text").alias("_hash")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_hash"))
-    return docs.join(kept, same, "left_semi")
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text")).alias("first")
+    kept = named.groupBy("label").agg(smallest).select(F.col("first.doc_id").alias("of_doc"), F.col("first.text").alias("of_text"))
+    return given.join(stored(kept, "kept"), same, "left_semi").select("row.*")

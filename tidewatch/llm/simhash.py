@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import components, stored
+from tidewatch.llm.common import components, packed, stored
 
 BITS = 64
 FANOUT = 8
@@ -263,5 +263,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """`docs` with the row of the smallest id of each component only (a row without an id stays if none has one)."""
     prints = near_duplicates(docs, id_col, text_col, **params)
     kept = prints.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    kept = kept.groupBy(F.col("doc_id").alias("_id")).agg(F.lit(1).alias("_kept"))
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    kept = kept.select(F.col("doc_id").alias("of_doc")).distinct()
+    given = docs.select(packed(docs).alias("row"), F.col(id_col).alias("doc_id"))
+    return given.join(kept, F.col("doc_id").eqNullSafe(F.col("of_doc")), "left_semi").select("row.*")
