@@ -156,7 +156,7 @@ def _compare(members: DataFrame, labels: DataFrame | None, texts: DataFrame, per
     members = stored(members.select("band", "key", "node", "size", "tiles", "tile"), "candidate-members")
 
     def found(placed: DataFrame, name: str) -> DataFrame:
-        return stored(_forests(texts.join(placed, "node"), percent, shingle).distinct(), name)
+        return stored(_forests(texts.hint("merge").join(placed, "node"), percent, shingle).distinct(), name)
 
     plain = members.select("band", "key", "tile", F.lit(0).alias("other"), F.lit(0).alias("ask"), "node")
     edges = found(plain, "verified")
@@ -193,14 +193,15 @@ def verified_components(given: DataFrame, signed: DataFrame, shingle: int, dista
     the first bands are compared first, which connects most copies; of the
     other bands only groups that still hold more than one component are.
     """
-    same = F.first(F.struct("keys", "size")).alias("of")
-    nodes = signed.groupBy("node").agg(same, F.min(F.struct("doc_id", "text")).alias("first"))
+    about = F.first(F.struct("keys", "size")).alias("of")
+    nodes = signed.groupBy("node").agg(about, F.min(F.struct("doc_id", "text")).alias("first"))
     nodes = stored(nodes.select("node", "of.*", F.col("first.doc_id").alias("doc_id"), F.col("first.text").alias("hash")), "shingle-sets")
     groups = _groups(signed, nodes, distance)
-    # The candidates' texts are read where they lie; which of them are wanted is sent to them while that is small.
+    # One shuffle of the texts leaves the candidates' alone, each of them once; it costs the same share at any size.
     wanted = nodes.select("node", "doc_id", "hash").join(groups.select("node").distinct(), "node", "left_semi")
-    wanted = stored(wanted.select("node", F.col("doc_id").alias("of_doc"), F.col("hash").alias("of_text")), "candidates")
-    texts = given.join(wanted, given["doc_id"].eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_text"))).select("node", "text")
+    wanted = wanted.select("node", F.col("doc_id").alias("of_doc"), F.col("hash").alias("of_text"))
+    same = given["doc_id"].eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_text"))
+    texts = stored(given.select("doc_id", "hash", "text").hint("merge").join(wanted, same).select("node", "text"), "candidate-texts")
     early = (F.col("band") == BANDS) | (F.col("band") < FIRST_BANDS)
     edges = _compare(groups.where(early), None, texts, percent, shingle, group_rows)
     labels = components(edges)
