@@ -45,7 +45,7 @@ def stored(spark: SparkSession, sf_dir: str) -> TableStore:
         for _ in range(2):
             _land(spark, sf_dir, f"{folder}/topic")
             messages = stream_topic_files(spark, f"{folder}/topic", MAX_FILES)
-            job = FanOut(store, "events")
+            job = FanOut(store, "events", isolate_attempts=64)
             start_fan_out(messages, job, f"{folder}/checkpoint", available_now=True).awaitTermination()
         _stores[key] = store
     return _stores[key]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.rollup import compact_hourly
 from tidewatch.schemas import BATCH_COLUMNS, TABLE_SCHEMAS, TABLE_SORT
+from tidewatch.sinks.id_index import IdIndex, covered, run_name
 
 _STREAM_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
@@ -124,6 +125,38 @@ class TableStore:
             rows = rows.unionByName(archived)
         return rows
 
+    @property
+    def ids(self) -> IdIndex:
+        """The index of the ids in `raw_events`."""
+        return IdIndex(self.root)
+
+    def stored_batches(self, spark: SparkSession, table: str) -> list[tuple[str, int]]:
+        """The (stream_id, batch_id) that have a partition in a table."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/stream_id=*/batch_id=*")
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        names = [(f.getPath().getParent().getName(), f.getPath().getName()) for f in found or []]
+        return sorted((stream.removeprefix("stream_id="), int(batch.removeprefix("batch_id="))) for stream, batch in names)
+
+    def complete_ids(self, spark: SparkSession) -> list[str]:
+        """Write the runs of ids that stored batches and archives still miss, as in tables older than the index."""
+        held = [covered(run) for run in self.ids.runs(spark)]
+
+        def missing(stream: str, first: int, end: int) -> bool:
+            return not any(s == stream and a <= first and end <= b for s, a, b in held)
+
+        added = []
+        for archive in self.known_archives(spark):
+            if missing(archive.stream_id, archive.first_batch, archive.end_batch):
+                rows = spark.read.schema(_batch_schema("raw_events")).parquet(f"{archive.root}/raw_events")
+                added.append(run_name(archive.stream_id, archive.first_batch, archive.end_batch))
+                self.ids.write(rows.select("id"), added[-1])
+                held.append((archive.stream_id, archive.first_batch, archive.end_batch))
+        for stream, batch in self.stored_batches(spark, "raw_events"):
+            if missing(stream, batch, batch + 1):
+                added.append(run_name(stream, batch))
+                self.ids.write(self.read_batch(spark, "raw_events", stream, batch).select("id"), added[-1])
+        return added
+
     def known_archives(self, spark: SparkSession) -> tuple[Archive, ...]:
         """The archives listed in the root, a row each, and those named by this store."""
         path = f"{self.root.rstrip('/')}/{ARCHIVE_LIST}"

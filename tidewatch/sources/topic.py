@@ -1,4 +1,4 @@
-"""The keyed topic: Kafka, or files with the same columns where there is no broker.
+"""The keyed topic: Kafka, a topic log in files, or plain files with the same columns where there is no broker.
 
 The Kafka connector is a separate Spark package; only its options are built
 here. A Kafka source and a file source give the same columns, so every
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.params import required_name
 from tidewatch.schemas import DEFAULT_TOPIC, TOPIC_COLUMNS, TOPIC_SCHEMA
+from tidewatch.sources.topic_log import FORMAT, register
 
 
 def broker_options(
@@ -87,6 +88,18 @@ def stream_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return _as_messages(spark.readStream.format("kafka").options(**options).load())
 
 
+def stream_topic_log(spark: SparkSession, path: str, topic: str = DEFAULT_TOPIC, max_offsets: int | None = None) -> DataFrame:
+    """A stream of the topic log in a folder; `max_offsets` bounds a micro-batch, also inside files.
+
+    A query that should stop when all is read uses short intervals and
+    `processAllAvailable`: the available-now trigger takes one batch only.
+    """
+    reader = register(spark).readStream.format(FORMAT).option("path", path).option("topic", required_name("topic", topic))
+    if max_offsets:
+        reader = reader.option("maxOffsets", max_offsets)
+    return reader.load()
+
+
 def read_topic_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC_SCHEMA).parquet(path)
 

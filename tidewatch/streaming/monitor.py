@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 import json
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -56,11 +57,17 @@ class JobMetrics:
 
 
 def _offsets(text) -> dict:
-    """A source's offsets; empty where they are no JSON object, as those of file sources may be."""
+    """A source's offsets; empty where they are no JSON object, as those of file sources may be.
+
+    Progress that was read back from the session shows the object as Python prints it.
+    """
     try:
         offsets = json.loads(text) if isinstance(text, str) else (text or {})
     except ValueError:
-        return {}
+        try:
+            offsets = ast.literal_eval(text)
+        except (ValueError, SyntaxError):
+            return {}
     return offsets if isinstance(offsets, dict) else {}
 
 
@@ -81,12 +88,18 @@ class ProgressListener(StreamingQueryListener):
 
     Other queries of the session are left out; once the query ends the
     listener takes itself off. `after` is called with the number of each batch
-    that was copied.
+    that was copied; `newest` tells the end of a source that doesn't report it.
     """
 
     def __init__(
-        self, spark: SparkSession, name: str, metrics: JobMetrics, after: Callable[[int], None] | None = None
+        self,
+        spark: SparkSession,
+        name: str,
+        metrics: JobMetrics,
+        after: Callable[[int], None] | None = None,
+        newest: Callable[[], dict] | None = None,
     ) -> None:
+        self.newest = newest
         self.spark = spark
         self.name = name
         self.metrics = metrics
@@ -106,13 +119,17 @@ class ProgressListener(StreamingQueryListener):
             for metric, amount in observed.asDict().items():
                 self.metrics.add(metric, amount)
         self.metrics.observe("batch_duration_seconds", progress.batchDuration / 1000)
-        lags = [source_lag(source.endOffset, source.latestOffset) for source in progress.sources]
+        lags = [source_lag(source.endOffset, self._latest(source)) for source in progress.sources]
         known = [lag for lag in lags if lag is not None]
         if known:
             self.metrics.set("consumer_lag", sum(known))
         if self.after is not None:
             self.after(progress.batchId)
 
+    def _latest(self, source) -> str | dict | None:
+        """A source's newest offsets; a source that bounds its batches reports only how far it would go next, so `newest` counts first."""
+        return source.latestOffset if self.newest is None else self.newest()
+
     def onQueryIdle(self, event) -> None:
         pass
 
@@ -122,9 +139,13 @@ class ProgressListener(StreamingQueryListener):
 
 
 def watch(
-    spark: SparkSession, name: str, metrics: JobMetrics, after: Callable[[int], None] | None = None
+    spark: SparkSession,
+    name: str,
+    metrics: JobMetrics,
+    after: Callable[[int], None] | None = None,
+    newest: Callable[[], dict] | None = None,
 ) -> ProgressListener:
     """Follow the query that is started next under `name`."""
-    listener = ProgressListener(spark, name, metrics, after)
+    listener = ProgressListener(spark, name, metrics, after, newest)
     spark.streams.addListener(listener)
     return listener
