@@ -105,3 +105,33 @@ def test_quantile_of_rates(spark):
         rows += [(second, "d_bucket", {"le": "1", "op": "x"}, low), (second, "d_bucket", {"le": "+Inf", "op": "x"}, high)]
     row = metrics.quantile_of_rates(samples(spark, rows), "d", 60, 0.4).first()
     assert row.quantile == 0.5
+
+
+@pytest.mark.parametrize("quantile", [0.0, 0.95])
+def test_exact_quantiles_of_any_values(spark, quantile):
+    dice = random.Random(int(quantile * 100))
+    groups = {
+        "hot": [dice.gauss(0, 1e6) for _ in range(3000)],
+        "ties": [float(dice.randrange(4)) for _ in range(500)],
+        "far": [10.0 ** dice.randrange(-20, 20) for _ in range(200)],
+        "close": [1.0 + i * 2.0**-52 for i in range(50)],
+        "one": [7.5],
+        None: [-1.0, 2.0],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("hot", None), ("hot", float("nan")), ("none", None)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.observations, r.quantile) for r in metrics.exact_quantile(frame, "v", quantile, ["g"], pieces=64).collect()}
+    assert got.keys() == groups.keys()
+    for g, values in groups.items():
+        ordered, at = sorted(values), (len(values) - 1) * quantile
+        low, high = ordered[int(at)], ordered[-int(-at // 1)]
+        assert got[g] == (len(values), low if low == high else low + (high - low) * (at - int(at)))
+    everything = metrics.exact_quantile(frame, "v", 1.0).collect()
+    assert [(r.observations, r.quantile) for r in everything] == [(3753, max(v for _, v in rows if v == v and v is not None))]
+    assert metrics.exact_quantile(frame.where("g = 'none'"), "v", 0.5, ["g"]).count() == 0
+
+
+def test_exact_quantile_with_endless_values(spark):
+    rows = [(float("-inf"),), (1.0,), (2.0,), (3.0,), (float("inf"),), (float("inf"),)]
+    frame = spark.createDataFrame(rows, "v double")
+    assert [metrics.exact_quantile(frame, "v", q).first().quantile for q in (0.2, 0.4, 1.0)] == [1.0, 2.0, float("inf")]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.timebuckets import instant
 from tidewatch.schemas import DEFAULT_BUCKETS
+from tidewatch.session import working_folder
 
 SERIES = ("metric", "_series")
 
@@ -194,6 +195,60 @@ def quantile_of_rates(
     )
 
 
+def exact_quantile(
+    rows: DataFrame, value: str, quantile: float, by: Sequence[str] = (), pieces: int = 1024
+) -> DataFrame:
+    """(by …, observations, quantile): the interpolated quantile of each group's values, exact for groups of any size.
+
+    The rank is looked for by counting: each round parts the range that holds
+    it in `pieces` and keeps the piece with the rank, until one value is left.
+    A round is a partly aggregated count, at most `pieces` rows a task and
+    rank, so no task ever holds or sorts a group; the range shrinks by
+    `pieces` each time. Nulls and NaN are left out; groups without values give
+    no row.
+    """
+    spark = rows.sparkSession
+    keys = [F.col(c) for c in by] or [F.lit(0)]
+    names = [f"_g{i}" for i in range(len(keys))]
+    values = rows.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)], F.col(value).cast("double").alias("_v"))
+    values = values.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    sized = values.groupBy(*names).agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    position = (F.col("_n") - 1) * F.lit(float(quantile))
+    ranks = F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position))))
+    state = sized.select(*names, "_n", ranks.alias("_rank"), "_low", "_high").withColumn("_left", F.col("_rank"))
+    while True:
+        folder = working_folder(spark, "ranks")
+        state.write.parquet(folder)
+        state = spark.read.schema(state.schema).parquet(folder)
+        wide = state.where("_low < _high")
+        if not wide.limit(1).count():
+            break
+        sought = wide.select(*[F.col(n).alias(f"_of{n}") for n in names], "_n", "_rank", "_left", "_low", "_high")
+        same = [F.col(n).eqNullSafe(F.col(f"_of{n}")) for n in names] + [F.col("_v").between(F.col("_low"), F.col("_high"))]
+        place = F.floor((F.col("_v") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2) * pieces)
+        endless = (F.abs("_low") == float("inf")) | (F.abs("_high") == float("inf"))
+        # The ends are always in different pieces, so every round narrows the range.
+        piece = F.when(F.col("_v") == F.col("_low"), 0).when(F.col("_v") == F.col("_high"), pieces - 1).when(endless, 1)
+        piece = piece.otherwise(F.greatest(F.lit(0), F.least(F.lit(pieces - 1), place)))
+        inside = [*names, "_n", "_rank", "_left"]
+        counted = values.join(sought, same).select(*inside, piece.alias("_piece"), "_v")
+        counted = counted.groupBy(*inside, "_piece").agg(F.count("*").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        before = Window.partitionBy(*names, "_rank").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_below", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+        held = counted.where((F.col("_below") <= F.col("_left")) & (F.col("_left") < F.col("_below") + F.col("_c")))
+        held = held.select(*names, "_n", "_rank", "_low", "_high", (F.col("_left") - F.col("_below")).alias("_left"))
+        state = state.where("_low >= _high").unionByName(held)
+    low, high = F.min("_low"), F.max("_low")
+    part = (F.col("_n") - 1) * F.lit(float(quantile))
+    found = state.groupBy(*names, "_n").agg(low.alias("_low"), high.alias("_high"))
+    between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
+        F.col("_low") + (F.col("_high") - F.col("_low")) * (part - F.floor(part))
+    )
+    return found.select(
+        *[F.col(n).alias(c) for n, c in zip(names, by)], F.col("_n").alias("observations"), between.alias("quantile")
+    )
+
+
 def request_summary(
     requests: DataFrame, by: Sequence[str] = ("method", "path", "status"), duration: str = "duration"
 ) -> DataFrame:

@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.contract import parse_events, valid_events
+from tidewatch.operators.events import publish_keyed
 from tidewatch.operators.rollup import hourly_partials, timeseries_rows
 from tidewatch.plans import driver_tables as dt
-from tidewatch.schemas import EVENT_COLUMNS, TOPIC_COLUMNS
+from tidewatch.schemas import DEFAULT_TOPIC, EVENT_COLUMNS, TOPIC_COLUMNS, TOPIC_SCHEMA
 from tidewatch.session import working_folder
 from tidewatch.sinks.publish import publish, start_publishing
 from tidewatch.sinks.store import TableStore, read_written, write_for_reading
 from tidewatch.sources.snapshot import stream_lines
-from tidewatch.sources.topic import stream_topic_files
+from tidewatch.sources.topic import stream_topic_files, stream_topic_log
+from tidewatch.sources.topic_log import FORMAT, newest_offsets, register
 from tidewatch.streaming.fanout import FanOut, start_fan_out
 from tidewatch.streaming.ingest import accepted_messages, dedupe_stream
 
@@ -143,3 +145,43 @@ def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.max("files") == 1).alias("one_file_per_batch"),
         )
     )
+
+
+def _log(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a topic log that holds the valid messages, published once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, "log")
+    if key not in _written:
+        _written[key] = working_folder(spark, "topic-log")
+        publish(publish_keyed(valid_events(parse_events(dt.topic(spark, sf_dir)))), log=_written[key])
+    return _written[key]
+
+
+def logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of a topic log with the count of their key, and whether its key and offsets are as they should be."""
+    messages = register(spark).read.format(FORMAT).option("path", _log(spark, sf_dir)).load()
+    ends = messages.groupBy("partition").agg((F.max("offset") + 1 == F.count_distinct("offset")).alias("whole"))
+    keys = messages.groupBy("key").agg(F.count("*").alias("of_key"), (F.min("partition") == F.max("partition")).alias("alone"))
+    rows = messages.join(keys, "key").join(ends, "partition")
+    return rows.select("key", "value", "of_key", (F.col("alone") & F.col("whole")).alias("one_partition"))
+
+
+def log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and distinct offsets of a stream over the topic log, and whether every micro-batch kept to its bound."""
+    folder, path = working_folder(spark, "log-batches"), _log(spark, sf_dir)
+    total = sum(newest_offsets(path)[DEFAULT_TOPIC].values())
+    most = max(1, -(-total // 4))
+    query = (
+        stream_topic_log(spark, path, max_offsets=most)
+        .writeStream.foreachBatch(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch}"))
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(processingTime="0 seconds")
+        .start()
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.schema(f"{TOPIC_SCHEMA}, batch_id BIGINT").parquet(f"{folder}/rows")
+    sizes = rows.groupBy("batch_id").count().agg((F.max("count") <= most).alias("bounded"))
+    counted = rows.agg(F.count("*").alias("messages"), F.count_distinct("partition", "offset").alias("offsets"))
+    return counted.join(F.broadcast(sizes))

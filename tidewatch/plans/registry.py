@@ -643,6 +643,25 @@ def metric_p95_bucketed(spark, sf_dir):
     return metrics.quantile_of_rates(dt.duration_samples(spark, sf_dir), "api_request_duration_seconds", 86400)
 
 
+@query(
+    "metric_p95_exact",
+    _SAMPLES
+    + """, ranked AS (
+      SELECT path, duration, row_number() OVER (PARTITION BY path ORDER BY duration) - 1 AS place,
+             count(*) OVER (PARTITION BY path) AS n
+      FROM requests WHERE duration IS NOT NULL),
+    sought AS (SELECT *, (n - 1) * CAST(0.95 AS DOUBLE) AS position FROM ranked),
+    ends AS (
+      SELECT path, n AS observations, position, max(duration) FILTER (WHERE place = floor(position)) AS low,
+             max(duration) FILTER (WHERE place = ceil(position)) AS high
+      FROM sought GROUP BY ALL)
+    SELECT path, observations, CASE WHEN low = high THEN low ELSE low + (high - low) * (position - floor(position)) END AS quantile
+    FROM ends""",
+)
+def metric_p95_exact(spark, sf_dir):
+    return metrics.exact_quantile(dt.requests(spark, sf_dir), "duration", 0.95, ["path"])
+
+
 @query(
     "metric_histogram",
     _SAMPLES
@@ -726,3 +745,17 @@ def ingest_accepted(spark, sf_dir):
 @query("microbatch_counts", "SELECT 2 * count(*) AS messages, TRUE AS one_file_per_batch FROM topic")
 def microbatch_counts(spark, sf_dir):
     return landing.batch_counts(spark, sf_dir)
+
+
+@query(
+    "topic_log_messages",
+    """SELECT key, value, count(*) OVER (PARTITION BY key) AS of_key, TRUE AS one_partition FROM valid""",
+)
+def topic_log_messages(spark, sf_dir):
+    """The keyed messages as read back from the topic log: each key in one partition, each partition's offsets without gaps."""
+    return landing.logged(spark, sf_dir)
+
+
+@query("topic_log_batches", "SELECT count(*) AS messages, count(*) AS offsets, TRUE AS bounded FROM valid")
+def topic_log_batches(spark, sf_dir):
+    return landing.log_batches(spark, sf_dir)
