@@ -57,6 +57,7 @@ class Archive:
 
 
 ARCHIVE_LIST = "archives"
+MARKS = "whole_batches"
 ARCHIVE_SCHEMA = "root STRING, stream_id STRING, first_batch BIGINT, end_batch BIGINT"
 
 
@@ -108,8 +109,35 @@ class TableStore:
         for table in TABLE_SCHEMAS:
             spark.sql(f"MSCK REPAIR TABLE `{database}`.{table}")
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """A stored table, empty before the first batch. Archived rows have no `batch_id`."""
+    def mark_whole(self, spark: SparkSession, stream_id: str, batch_id: int) -> None:
+        """Say that all tables have a batch; from here on reads of whole batches show it."""
+        spark.range(1).select(F.lit(1).alias("whole")).coalesce(1).write.mode("overwrite").parquet(self._mark(stream_id, batch_id))
+
+    def unmark(self, spark: SparkSession, stream_id: str, batch_id: int) -> None:
+        """Take a batch out of the reads of whole batches, as it is about to be written again."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self._mark(stream_id, batch_id))
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(path) and not files.delete(path, True):
+            raise OSError(f"could not clear {path}")
+
+    def _mark(self, stream_id: str, batch_id: int) -> str:
+        return f"{self.root.rstrip('/')}/{MARKS}/stream_id={check_stream_id(stream_id)}/batch_id={batch_id}"
+
+    def read(self, spark: SparkSession, table: str, whole_batches: bool = False) -> DataFrame:
+        """A stored table, empty before the first batch. Archived rows have no `batch_id`.
+
+        With `whole_batches` a batch shows in all tables or in none: only
+        batches whose last write is done are read. Which those are is one row
+        a batch, found once and sent to the scan, where it prunes partitions.
+        """
+        if whole_batches:
+            rows = self.read(spark, table)
+            marks = f"{self.root.rstrip('/')}/{MARKS}"
+            if not exists(spark, marks):
+                return rows.where("batch_id IS NULL") if table in DAY_SOURCE else rows.limit(0)
+            whole = spark.read.schema(f"whole INT, {BATCH_COLUMNS}").parquet(marks).select("stream_id", "batch_id")
+            live = rows.where("batch_id IS NOT NULL").join(F.broadcast(whole), ["stream_id", "batch_id"], "left_semi")
+            return live.select(*rows.columns).unionByName(rows.where("batch_id IS NULL"))
         rows = spark.read.schema(TABLE_SCHEMAS[table]).parquet(self.path(table))
         if table not in DAY_SOURCE:
             return rows

@@ -127,6 +127,7 @@ class FanOut:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
+        self.store.unmark(messages.sparkSession, self.stream_id, batch_id)
         parsed = self._stage(messages)
         stats = self._stats(parsed)
         malformed = rejected_messages(parsed).select(*DEAD_LETTER_COLUMNS)
@@ -156,6 +157,7 @@ class FanOut:
         self.metrics.observe("processing_duration_seconds", time.monotonic() - started)
         if self.record_samples:
             self._write(self.metrics.samples(messages.sparkSession), "metric_samples", batch_id)
+        self.store.mark_whole(messages.sparkSession, self.stream_id, batch_id)
 
     def _clear(self, spark: SparkSession, batch_id: int) -> None:
         for table in ("raw_events", "events_hourly", "events_timeseries"):
