@@ -203,19 +203,19 @@ CRC_POLYNOMIAL = 3988292384
 def oracle() -> str:
     """DuckDB SQL of the registered query; XXH64 is written out in 128-bit arithmetic modulo 2^64."""
     p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in PRIMES)
-    top = f"{1 << 64}::UHUGEINT"
+    mask = f"{(1 << 64) - 1}::UHUGEINT"
 
     def turned(value: str, by: int) -> str:
-        return f"(({value} * {1 << by}::UHUGEINT) % {top} + {value} // {1 << (64 - by)}::UHUGEINT)"
+        return f"((({value} * {1 << by}::UHUGEINT) & {mask}) + ({value} >> {64 - by}))"
 
     rows = f"SELECT doc_id, kind, i, {', '.join(f'k{j}' for j in range(SHINGLE))}, 42::UHUGEINT AS h FROM shingles"
     keep = f"doc_id, kind, i, {', '.join(f'k{j}' for j in range(SHINGLE))}"
     for j in range(SHINGLE):
-        rows = f"SELECT {keep}, h AS h0, xor((h + {p5} + 8) % {top}, coalesce(k{j}, 0)) AS h FROM ({rows})"
-        rows = f"SELECT {keep}, h0, ({turned('h', 27)} * {p1} + {p4}) % {top} AS h FROM ({rows})"
+        rows = f"SELECT {keep}, h AS h0, xor((h + {p5} + 8) & {mask}, coalesce(k{j}, 0)) AS h FROM ({rows})"
+        rows = f"SELECT {keep}, h0, ({turned('h', 27)} * {p1} + {p4}) & {mask} AS h FROM ({rows})"
         for by, prime in ((33, p2), (29, p3)):
-            rows = f"SELECT {keep}, h0, (xor(h, h // {1 << by}::UHUGEINT) * {prime}) % {top} AS h FROM ({rows})"
-        rows = f"SELECT {keep}, CASE WHEN k{j} IS NULL THEN h0 ELSE xor(h, h // {1 << 32}::UHUGEINT) END AS h FROM ({rows})"
+            rows = f"SELECT {keep}, h0, (xor(h, h >> {by}) * {prime}) & {mask} AS h FROM ({rows})"
+        rows = f"SELECT {keep}, CASE WHEN k{j} IS NULL THEN h0 ELSE xor(h, h >> 32) END AS h FROM ({rows})"
     pieces = ", ".join(f"words[i + {j + 1}] AS w{j}" for j in range(SHINGLE))
     joins = " ".join(f"LEFT JOIN vocabulary v{j} ON v{j}.w = w{j}" for j in range(SHINGLE))
     keys = ", ".join(f"v{j}.k AS k{j}" for j in range(SHINGLE))
@@ -252,8 +252,8 @@ def oracle() -> str:
                    lambda c, b: xor(steps[xor(c, b) % 256 + 1], c // 256), 4294967295::BIGINT), 4294967295)::UHUGEINT AS code
             FROM distinct_words, crc
         ),
-        first_step AS (SELECT w, (code * {p2}) % {top} AS a FROM coded),
-        vocabulary AS (SELECT w, ({turned('a', 31)} * {p1}) % {top} AS k FROM first_step),
+        first_step AS (SELECT w, (code * {p2}) & {mask} AS a FROM coded),
+        vocabulary AS (SELECT w, ({turned('a', 31)} * {p1}) & {mask} AS k FROM first_step),
         places AS (SELECT doc_id, kind, words, unnest(range(greatest(least(len(words), 1), len(words) - {SHINGLE - 1}))) AS i FROM split),
         shingle_words AS (SELECT doc_id, kind, i, {pieces} FROM places),
         shingles AS (SELECT doc_id, kind, i, {keys} FROM shingle_words {joins}),
