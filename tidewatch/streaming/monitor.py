@@ -84,7 +84,7 @@ def source_lag(start_or_end: str | dict | None, latest: str | dict | None) -> in
 
 
 class ProgressListener(StreamingQueryListener):
-    """Copies the progress of the query called `name` into its metrics: input rows, observed counts, duration, source lag.
+    """Copies the progress of the query called `name` into its metrics: input rows, observed counts, late rows, duration, source lag.
 
     Other queries of the session are left out; once the query ends the
     listener takes itself off. `after` is called with the number of each batch
@@ -118,6 +118,9 @@ class ProgressListener(StreamingQueryListener):
         for observed in progress.observedMetrics.values():
             for metric, amount in observed.asDict().items():
                 self.metrics.add(metric, amount)
+        if progress.stateOperators:
+            dropped = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+            self.metrics.add("rows_dropped_by_watermark_total", dropped)
         self.metrics.observe("batch_duration_seconds", progress.batchDuration / 1000)
         lags = [source_lag(source.endOffset, self._latest(source)) for source in progress.sources]
         known = [lag for lag in lags if lag is not None]
