@@ -16,13 +16,17 @@ from tidewatch.operators.rollup import hourly_partials, timeseries_rows
 from tidewatch.plans import driver_tables as dt
 from tidewatch.schemas import DEFAULT_TOPIC, EVENT_COLUMNS, TOPIC_COLUMNS, TOPIC_SCHEMA
 from tidewatch.session import working_folder
+from tidewatch.sinks.digests import differing_ids, write_tree
 from tidewatch.sinks.publish import publish, start_publishing
 from tidewatch.sinks.store import TableStore, read_written, write_for_reading
 from tidewatch.sources.snapshot import stream_lines
 from tidewatch.sources.topic import stream_topic_files, stream_topic_log
 from tidewatch.sources.topic_log import FORMAT, newest_offsets, register
 from tidewatch.streaming.fanout import FanOut, start_fan_out
+from tidewatch.streaming.hours import late_rows, read_hours, start_hours
 from tidewatch.streaming.ingest import accepted_messages, dedupe_stream
+from tidewatch.streaming.last_ids import dedupe_last
+from tidewatch.streaming.series import stream_increases, sum_increases
 
 # How long after its arrival an id is remembered at ingest; both deliveries of a run lie within it.
 HORIZON = "2 hours"
@@ -30,6 +34,9 @@ HORIZON = "2 hours"
 # Files per micro-batch, so that a catch-up over a very large topic runs in parts.
 MAX_FILES = 2000
 
+# Ids a shard of the dedupe by number remembers.
+SHARD_IDS = 100_000
+
 _stores: dict[tuple[str, str], TableStore] = {}
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -185,3 +192,71 @@ def log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = rows.groupBy("batch_id").count().agg((F.max("count") <= most).alias("bounded"))
     counted = rows.agg(F.count("*").alias("messages"), F.count_distinct("partition", "offset").alias("offsets"))
     return counted.join(F.broadcast(sizes))
+
+
+def watermarked(spark: SparkSession, sf_dir: str, lateness: str) -> DataFrame:
+    """Hourly counts of a twice delivered topic, each delivery one batch, and the rows the watermark dropped in all."""
+    folder, late = working_folder(spark, "hours"), 0
+    for _ in range(2):
+        _land(spark, sf_dir, f"{folder}/topic")
+        events = valid_events(parse_events(stream_topic_files(spark, f"{folder}/topic")))
+        query = start_hours(events, f"{folder}/hours", f"{folder}/checkpoint", lateness, available_now=True)
+        query.awaitTermination()
+        late += late_rows(query)
+    return read_hours(spark, f"{folder}/hours").withColumn("late", F.lit(late).cast("long"))
+
+
+def remembered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid events of a twice delivered topic after the dedupe bounded by a number of ids.
+
+    There are enough shards for each to hold about half its limit, so no copy comes too late.
+    """
+    folder = working_folder(spark, "last-ids")
+    shards = max(8, -(-2 * dt.topic(spark, sf_dir).count() // SHARD_IDS))
+    for _ in range(2):
+        _land(spark, sf_dir, f"{folder}/topic")
+        events = valid_events(parse_events(stream_topic_files(spark, f"{folder}/topic"))).select("id", "type", "created_at")
+        (
+            dedupe_last(events, SHARD_IDS, ["created_at", "id"], shards)
+            .select("id", "type")
+            .writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .format("parquet")
+            .option("path", f"{folder}/unique")
+            .start()
+            .awaitTermination()
+        )
+    return spark.read.schema("id STRING, type STRING").parquet(f"{folder}/unique")
+
+
+def increased(spark: SparkSession, sf_dir: str, window_seconds: int) -> DataFrame:
+    """Increases per series and window of samples that arrive in two parts, the second after the job was started again."""
+    folder = working_folder(spark, "increases")
+    samples = dt.processed_samples(spark, sf_dir)
+    samples.write.parquet(f"{folder}/all")
+    whole = spark.read.schema(samples.schema).parquet(f"{folder}/all")
+    ends = whole.agg(F.unix_micros(F.min("ts")).alias("a"), F.unix_micros(F.max("ts")).alias("b")).first()
+    middle = F.timestamp_micros(F.lit(((ends.a or 0) + (ends.b or 0)) // 2))
+    for part in (F.col("ts") <= middle, F.col("ts") > middle):
+        whole.where(part).write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(samples.schema).parquet(f"{folder}/in")
+        (
+            # Every series lives as long as the table does.
+            stream_increases(arriving, window_seconds, expiry_seconds=10 * 365 * 86400)
+            .writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .format("parquet")
+            .option("path", f"{folder}/out")
+            .start()
+            .awaitTermination()
+        )
+    schema = "metric STRING, labels MAP<STRING, STRING>, window_start TIMESTAMP, increase DOUBLE"
+    return sum_increases(spark.read.schema(schema).parquet(f"{folder}/out"))
+
+
+def differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids in which the event table and the topic's valid events differ, by their hash trees."""
+    folder, columns = working_folder(spark, "trees"), ["id", "type", "repo_name", "actor_name", "created_at"]
+    write_tree(dt.raw(spark, sf_dir), f"{folder}/table", columns=columns)
+    write_tree(valid_events(parse_events(dt.topic(spark, sf_dir))), f"{folder}/topic", columns=columns)
+    return differing_ids(spark, f"{folder}/table", f"{folder}/topic")

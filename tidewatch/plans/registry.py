@@ -759,3 +759,35 @@ def topic_log_messages(spark, sf_dir):
 @query("topic_log_batches", "SELECT count(*) AS messages, count(*) AS offsets, TRUE AS bounded FROM valid")
 def topic_log_batches(spark, sf_dir):
     return landing.log_batches(spark, sf_dir)
+
+
+@query(
+    "stream_hourly_watermark",
+    """SELECT date_trunc('hour', created_at) AS hour, repo_name, type AS event_type, count(*) AS count,
+    (SELECT count(*) FROM valid WHERE created_at <= (SELECT date_trunc('millisecond', max(created_at)) FROM valid) - INTERVAL 1 DAY) AS late
+    FROM valid GROUP BY ALL""",
+)
+def stream_hourly_watermark(spark, sf_dir):
+    """The second delivery is late or, inside the last day, a copy: counts stay those of one delivery."""
+    return landing.watermarked(spark, sf_dir, "1 day")
+
+
+@query("stream_dedupe_last", "SELECT id, type FROM valid")
+def stream_dedupe_last(spark, sf_dir):
+    return landing.remembered(spark, sf_dir)
+
+
+@query(
+    "stream_throughput",
+    _SAMPLES
+    + _PROCESSED_DELTAS
+    + """SELECT date_trunc('hour', ts) AS window_start, sum(delta) / CAST(3600 AS DOUBLE) AS rate FROM deltas GROUP BY ALL""",
+)
+def stream_throughput(spark, sf_dir):
+    found = landing.increased(spark, sf_dir, 3600)
+    return found.groupBy("window_start").agg((F.sum("increase") / F.lit(3600.0)).alias("rate"))
+
+
+@query("differing_ids", "SELECT id, 'missing right' AS difference FROM topic WHERE reason IS NOT NULL")
+def differing_ids(spark, sf_dir):
+    return landing.differences(spark, sf_dir)
