@@ -238,7 +238,9 @@ def links_of(graph: Graph, asked: np.ndarray, least: float, names: np.ndarray, b
 
 
 def _vectors(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, np.float64) for v in column])
+    """The vectors of a column, each times the power of two that brings its largest component near one: squares stay in range, cosines stay the same."""
+    found = np.stack([np.asarray(v, np.float64) for v in column])
+    return np.ldexp(found, -np.frexp(np.abs(found).max(axis=1, keepdims=True))[1])
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93, shards: int = SHARDS, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, recall: float = RECALL) -> DataFrame:
@@ -251,9 +253,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     and count when either side found the other; n_links weighs a class by its
     rows. A class of several rows links them all, whatever the search finds.
 
-    Null labels, null, empty and zero vectors, vectors with null or non-finite
-    components or of another length than most of their label's link with
-    nothing. Ids are whole numbers; of rows without id each is its own class.
+    Null labels, null, empty and zero vectors and vectors with null or
+    non-finite components link with nothing; vectors of one length are compared
+    with each other only. Entries may be as large or small as doubles are. Ids are whole numbers; of rows without id each is its own class.
     Other columns aren't read; an empty table gives an empty one.
     """
     given = vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))

@@ -291,7 +291,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str =
 
 
 def read_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in the files of a manifest, read back from them."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document in the files of a stored manifest, read back from them by about a task a file."""
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # over one row a file
     placed = manifest.withColumn("first", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
@@ -307,7 +307,8 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
                 found = [pa.array(names, mask=~named), *map(pa.array, (row["first"] + ends - lengths, lengths, np.array(sums, np.int64)))]
                 yield pa.RecordBatch.from_arrays(found, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = placed.repartition("part").select("path", "first")
+    # A stated number of partitions is one AQE doesn't join into few.
+    spread = placed.repartition(max(1, manifest.count()), "part").select("path", "first")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
