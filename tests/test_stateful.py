@@ -75,6 +75,16 @@ def test_increases_in_batches_equal_the_whole_table(spark, tmp_path):
     assert plain(found) == plain(metrics.increases(spark.createDataFrame(rows, SAMPLE), 900))
 
 
+def test_silent_series_start_anew(spark, tmp_path):
+    batches = [[(0, "a", 5), (0, "b", 1)], [(1000, "b", 4)], [(1001, "a", 9), (1002, "b", 6), (500, "c", 7), (1001, "c", 8)]]
+    for batch in batches:
+        landed(spark, f"{tmp_path}/in", [(T0 + timedelta(seconds=s), "m", {"s": n}, float(v)) for s, n, v in batch], SAMPLE)
+        run(stream_increases(spark.readStream.schema(SAMPLE).parquet(f"{tmp_path}/in"), 3600, expiry_seconds=100), tmp_path)
+    found = sum_increases(spark.read.parquet(f"{tmp_path}/out")).collect()
+    # b's first sample of the second batch comes in time; a was forgotten, and the sample of c at 500 is too old.
+    assert {r.labels["s"]: r.increase for r in found} == {"a": 0.0, "b": 3.0 + 2.0, "c": 0.0}
+
+
 @pytest.mark.parametrize("limit", [1, 7, 1000])
 def test_one_shard_is_one_list_of_the_last_ids(spark, tmp_path, limit):
     dice = random.Random(limit)
