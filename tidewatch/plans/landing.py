@@ -16,6 +16,7 @@ from tidewatch.operators.rollup import hourly_partials, timeseries_rows
 from tidewatch.plans import driver_tables as dt
 from tidewatch.schemas import DEFAULT_TOPIC, EVENT_COLUMNS, TOPIC_COLUMNS, TOPIC_SCHEMA
 from tidewatch.session import working_folder
+from tidewatch.sinks import clustering
 from tidewatch.sinks.digests import differing_ids, write_tree
 from tidewatch.sinks.publish import publish, start_publishing
 from tidewatch.sinks.store import TableStore, read_written, write_for_reading
@@ -80,6 +81,18 @@ def written(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return read_written(spark, table, f"{folder}/{table}")
 
 
+def clustered(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of all events clustered by repository and time, written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, "clustered")
+    if key not in _written:
+        folder = working_folder(spark, "clustered")
+        raw = dt.raw(spark, sf_dir)
+        # Some files a day also of a small table, and of a large one no more than it needs.
+        clustering.write_clustered(raw, folder, file_rows=max(1, min(clustering.FILE_ROWS, raw.count() // 240)))
+        _written[key] = folder
+    return _written[key]
+
+
 def written_runs(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """As `written`, each event belonging to the run of its type: ids start with `type-`, repositories with `type/`."""
     runs = dt.raw(spark, sf_dir).withColumns(

@@ -20,6 +20,7 @@ from tidewatch.plans import landing
 from tidewatch.plans.dashboard import dashboard
 from tidewatch.schemas import EVENT_COLUMNS, TOPIC_COLUMNS
 from tidewatch.session import configure
+from tidewatch.sinks import clustering
 from tidewatch.sources.snapshot import explode_snapshots
 from tidewatch.sources.synthetic import synthetic_events, synthetic_messages
 from tidewatch.streaming.fanout import DEAD_LETTER_COLUMNS
@@ -364,6 +365,17 @@ def latest_events(spark, sf_dir):
     return activity.latest_events(landing.written(spark, sf_dir, "raw_events"), 10)
 
 
+@query("recent_events_clustered", _RECENT.format(where=f"WHERE repo_name = '{REPO}'", limit=50))
+def recent_events_clustered(spark, sf_dir):
+    events = clustering.of_repository(spark, landing.clustered(spark, sf_dir), REPO)
+    return activity.recent_events(events, REPO, 50)
+
+
+@query("latest_events_clustered", _RECENT.format(where="", limit=10))
+def latest_events_clustered(spark, sf_dir):
+    return activity.latest_events(clustering.newest(spark, landing.clustered(spark, sf_dir), 10), 10)
+
+
 @query(
     "latest_timeseries",
     """SELECT "timestamp", repo_name, event_type FROM timeseries
