@@ -20,6 +20,7 @@ from tidewatch.sinks import clustering
 from tidewatch.sinks.digests import differing_ids, write_tree
 from tidewatch.sinks.publish import publish, start_publishing
 from tidewatch.sinks.store import TableStore, read_written, write_for_reading
+from tidewatch.sinks.tiers import expire, merge_closed
 from tidewatch.sources.snapshot import stream_lines
 from tidewatch.sources.topic import stream_topic_files, stream_topic_log
 from tidewatch.sources.topic_log import FORMAT, newest_offsets, register
@@ -93,6 +94,24 @@ def clustered(spark: SparkSession, sf_dir: str) -> str:
     return _written[key]
 
 
+def tiered(spark: SparkSession, sf_dir: str) -> TableStore:
+    """The tables of five batches, a fifth of the time each, whose closed ones were merged by size class, two at a time, and removed."""
+    folder = working_folder(spark, "tiers")
+    store, raw = TableStore(f"{folder}/tables"), dt.raw(spark, sf_dir).select(*EVENT_COLUMNS)
+    store.ensure(spark)
+    ends = raw.agg(F.unix_micros(F.min("created_at")).alias("a"), F.unix_micros(F.max("created_at")).alias("b")).first()
+    span = (ends.b or 0) - (ends.a or 0) + 1
+    for batch in range(5):
+        rows = raw.where(F.floor((F.unix_micros("created_at") - (ends.a or 0)) * 5 / span) == batch)
+        store.write_batch(rows, "raw_events", "events", batch)
+        rows = store.read_batch(spark, "raw_events", "events", batch)
+        store.write_batch(hourly_partials(rows), "events_hourly", "events", batch)
+        store.write_batch(timeseries_rows(rows), "events_timeseries", "events", batch)
+    merge_closed(spark, store, "events", 4, f"{folder}/merged", fan=2)
+    expire(spark, store, "events")
+    return store
+
+
 def written_runs(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """As `written`, each event belonging to the run of its type: ids start with `type-`, repositories with `type/`."""
     runs = dt.raw(spark, sf_dir).withColumns(

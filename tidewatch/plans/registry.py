@@ -304,6 +304,15 @@ def compact_hourly(spark, sf_dir):
     return rollup.compact_hourly(rollup.hourly_partials(_batched(spark, sf_dir), ("batch_id",)))
 
 
+@query("merged_batches", "SELECT r.*, t.timeseries FROM (SELECT repo_name, event_type, sum(count)::BIGINT AS hourly FROM hourly GROUP BY ALL) r "
+    "JOIN (SELECT repo_name, event_type, count(*) AS timeseries FROM timeseries GROUP BY ALL) t USING (repo_name, event_type)")
+def merged_batches(spark, sf_dir):
+    store = landing.tiered(spark, sf_dir)
+    keys = ["repo_name", "event_type"]
+    hourly = store.read(spark, "events_hourly").groupBy(*keys).agg(F.sum("count").alias("hourly"))
+    return hourly.join(store.read(spark, "events_timeseries").groupBy(*keys).agg(F.count("*").alias("timeseries")), keys)
+
+
 @query("timeseries_rows", 'SELECT date_trunc(\'second\', created_at) AS "timestamp", type AS event_type, repo_name FROM valid')
 def timeseries_rows(spark, sf_dir):
     return rollup.timeseries_rows(_valid(dt.topic(spark, sf_dir)))

@@ -28,7 +28,7 @@ DAY_SOURCE = {
 }
 
 
-def _batch_schema(table: str) -> str:
+def archived_schema(table: str) -> str:
     """A table's columns without the batch partition."""
     columns = TABLE_SCHEMAS[table].rsplit(f", {BATCH_COLUMNS}", 1)[0]
     return f"{columns}, dt DATE" if table in DAY_SOURCE else columns
@@ -55,6 +55,12 @@ class Archive:
             self.first_batch, self.end_batch - 1
         )
 
+    def replaces(self, other: Archive) -> bool:
+        """Whether this archive holds all of another one's batches and more."""
+        inside = self.first_batch <= other.first_batch and other.end_batch <= self.end_batch
+        size, others = self.end_batch - self.first_batch, other.end_batch - other.first_batch
+        return self.stream_id == other.stream_id and inside and size > others
+
 
 ARCHIVE_LIST = "archives"
 MARKS = "whole_batches"
@@ -109,16 +115,30 @@ class TableStore:
         for table in TABLE_SCHEMAS:
             spark.sql(f"MSCK REPAIR TABLE `{database}`.{table}")
 
+    def add_to_catalog(self, spark: SparkSession, database: str, stream_id: str, batch_id: int) -> None:
+        """Let the catalog find one batch; only that batch's folders are listed."""
+        for table in TABLE_SCHEMAS:
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.batch_path(table, stream_id, batch_id))
+            files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            if not files.exists(path):
+                continue
+            names = [""]
+            if table in DAY_SOURCE:
+                days = sorted(f.getPath().getName() for f in files.listStatus(path))
+                names = [f", dt = DATE '{day.removeprefix('dt=')}'" for day in days if day.startswith("dt=") and "__" not in day]
+            for day in names:
+                spark.sql(
+                    f"ALTER TABLE `{database}`.{table} ADD IF NOT EXISTS "
+                    f"PARTITION (stream_id = '{stream_id}', batch_id = {batch_id}{day})"
+                )
+
     def mark_whole(self, spark: SparkSession, stream_id: str, batch_id: int) -> None:
         """Say that all tables have a batch; from here on reads of whole batches show it."""
         spark.range(1).select(F.lit(1).alias("whole")).coalesce(1).write.mode("overwrite").parquet(self._mark(stream_id, batch_id))
 
     def unmark(self, spark: SparkSession, stream_id: str, batch_id: int) -> None:
         """Take a batch out of the reads of whole batches, as it is about to be written again."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(self._mark(stream_id, batch_id))
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.exists(path) and not files.delete(path, True):
-            raise OSError(f"could not clear {path}")
+        remove(spark, self._mark(stream_id, batch_id))
 
     def _mark(self, stream_id: str, batch_id: int) -> str:
         return f"{self.root.rstrip('/')}/{MARKS}/stream_id={check_stream_id(stream_id)}/batch_id={batch_id}"
@@ -134,25 +154,27 @@ class TableStore:
             rows = self.read(spark, table)
             marks = f"{self.root.rstrip('/')}/{MARKS}"
             if not exists(spark, marks):
-                return rows.where("batch_id IS NULL") if table in DAY_SOURCE else rows.limit(0)
+                return rows.where("batch_id IS NULL")
             whole = spark.read.schema(f"whole INT, {BATCH_COLUMNS}").parquet(marks).select("stream_id", "batch_id")
             live = rows.where("batch_id IS NOT NULL").join(F.broadcast(whole), ["stream_id", "batch_id"], "left_semi")
             return live.select(*rows.columns).unionByName(rows.where("batch_id IS NULL"))
         rows = spark.read.schema(TABLE_SCHEMAS[table]).parquet(self.path(table))
-        if table not in DAY_SOURCE:
-            return rows
-        archives = self.known_archives(spark)
+        archives = [archive for archive in self.known_archives(spark) if self.archived(spark, archive, table)]
         for archive in archives:
             rows = rows.filter(~archive.holds())
         for archive in archives:
             archived = (
-                spark.read.schema(_batch_schema(table))
+                spark.read.schema(archived_schema(table))
                 .parquet(f"{archive.root}/{table}")
                 .withColumns({"stream_id": F.lit(archive.stream_id), "batch_id": F.lit(None).cast("long")})
             )
             rows = rows.unionByName(archived)
         return rows
 
+    def archived(self, spark: SparkSession, archive: Archive, table: str) -> bool:
+        """Whether an archive has a table; older ones leave dead letters and samples where they are."""
+        return table in DAY_SOURCE or exists(spark, f"{archive.root}/{table}")
+
     @property
     def ids(self) -> IdIndex:
         """The index of the ids in `raw_events`."""
@@ -160,7 +182,14 @@ class TableStore:
 
     def stored_batches(self, spark: SparkSession, table: str) -> list[tuple[str, int]]:
         """The (stream_id, batch_id) that have a partition in a table."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/stream_id=*/batch_id=*")
+        return self._batches(spark, self.path(table))
+
+    def marked_batches(self, spark: SparkSession) -> list[tuple[str, int]]:
+        """The (stream_id, batch_id) marked as whole."""
+        return self._batches(spark, f"{self.root.rstrip('/')}/{MARKS}")
+
+    def _batches(self, spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/stream_id=*/batch_id=*")
         found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
         names = [(f.getPath().getParent().getName(), f.getPath().getName()) for f in found or []]
         return sorted((stream.removeprefix("stream_id="), int(batch.removeprefix("batch_id="))) for stream, batch in names)
@@ -170,12 +199,15 @@ class TableStore:
         held = [covered(run) for run in self.ids.runs(spark)]
 
         def missing(stream: str, first: int, end: int) -> bool:
-            return not any(s == stream and a <= first and end <= b for s, a, b in held)
+            for a, b in sorted((a, b) for s, a, b in held if s == stream):
+                if a <= first < b:
+                    first = b
+            return first < end
 
         added = []
         for archive in self.known_archives(spark):
             if missing(archive.stream_id, archive.first_batch, archive.end_batch):
-                rows = spark.read.schema(_batch_schema("raw_events")).parquet(f"{archive.root}/raw_events")
+                rows = spark.read.schema(archived_schema("raw_events")).parquet(f"{archive.root}/raw_events")
                 added.append(run_name(archive.stream_id, archive.first_batch, archive.end_batch))
                 self.ids.write(rows.select("id"), added[-1])
                 held.append((archive.stream_id, archive.first_batch, archive.end_batch))
@@ -186,24 +218,23 @@ class TableStore:
         return added
 
     def known_archives(self, spark: SparkSession) -> tuple[Archive, ...]:
-        """The archives listed in the root, a row each, and those named by this store."""
+        """The archives listed in the root, a row each, and those named by this store; none that lies inside another."""
         path = f"{self.root.rstrip('/')}/{ARCHIVE_LIST}"
         listed = []
         if exists(spark, path):
             rows = spark.read.schema(ARCHIVE_SCHEMA).parquet(path).collect()
             listed = [Archive(r.root, r.stream_id, r.first_batch, r.end_batch) for r in rows]
-        return tuple(sorted({*listed, *self.archives}, key=lambda a: (a.stream_id, a.first_batch, a.root)))
+        known = {*listed, *self.archives}
+        outer = [a for a in known if not any(b.replaces(a) for b in known)]
+        return tuple(sorted(outer, key=lambda a: (a.stream_id, a.first_batch, a.root)))
 
     def clear_batch(self, spark: SparkSession, table: str, stream_id: str, batch_id: int) -> None:
         """Remove one batch's partition, if it is there."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.batch_path(table, stream_id, batch_id))
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.exists(path) and not files.delete(path, True):
-            raise OSError(f"could not clear {path}")
+        remove(spark, self.batch_path(table, stream_id, batch_id))
 
     def read_batch(self, spark: SparkSession, table: str, stream_id: str, batch_id: int) -> DataFrame:
         """One batch's partition, read without listing the rest of the table."""
-        return spark.read.schema(_batch_schema(table)).parquet(self.batch_path(table, stream_id, batch_id))
+        return spark.read.schema(archived_schema(table)).parquet(self.batch_path(table, stream_id, batch_id))
 
     def write_batch(self, rows: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
         """Replace one batch's partition, rows sorted for the reads the table serves.
@@ -227,13 +258,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place) and not files.delete(place, True):
+        raise OSError(f"could not clear {place}")
+
+
 def write_for_reading(rows: DataFrame, table: str, path: str) -> None:
     """Write a new version of a table for reading: by day, sorted, evenly sized files.
 
     The rebalance spreads a day with very many rows over several tasks and
     joins small days, and the row-group statistics follow the sort. The raw
-    table gets a bloom filter on `id` for point lookups.
+    table gets a bloom filter on `id` for point lookups. Dead letters and
+    samples have no days.
     """
+    if table not in DAY_SOURCE:
+        rows.drop("stream_id", "batch_id").hint("rebalance").write.mode("errorifexists").parquet(path)
+        return
     by_day = rows.drop("stream_id", "batch_id").withColumn("dt", F.col(DAY_SOURCE[table]).cast("date"))
     writer = (
         by_day.hint("rebalance", "dt")
@@ -248,7 +291,7 @@ def write_for_reading(rows: DataFrame, table: str, path: str) -> None:
 
 def read_written(spark: SparkSession, table: str, path: str) -> DataFrame:
     """A table that `write_for_reading` wrote."""
-    return spark.read.schema(_batch_schema(table)).parquet(path)
+    return spark.read.schema(archived_schema(table)).parquet(path)
 
 
 def archive_batches(
@@ -265,12 +308,17 @@ def archive_batches(
     if archive.end_batch <= archive.first_batch:
         raise ValueError("no closed batches to archive")
     live = TableStore(store.root)
-    for table in DAY_SOURCE:
+    for table in TABLE_SCHEMAS:
         rows = live.read(spark, table).filter(archive.holds())
         if table == "events_hourly":
             rows = compact_hourly(rows)
         write_for_reading(rows, table, f"{archive.root}/{table}")
     # Listed last: from here on every store on this root reads the archive.
-    row = (archive.root, archive.stream_id, archive.first_batch, archive.end_batch)
-    spark.createDataFrame([row], ARCHIVE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{store.root.rstrip('/')}/{ARCHIVE_LIST}")
+    list_archive(spark, store.root, archive)
     return TableStore(store.root, (*store.archives, archive))
+
+
+def list_archive(spark: SparkSession, root: str, archive: Archive) -> None:
+    """Let every store on this root read an archive, by a file of one row."""
+    row = (archive.root, archive.stream_id, archive.first_batch, archive.end_batch)
+    spark.createDataFrame([row], ARCHIVE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{ARCHIVE_LIST}")
