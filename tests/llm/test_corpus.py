@@ -313,6 +313,54 @@ def test_pseudonyms(spark, odd, none):
     assert pseudonyms.pseudonymised(odd, "key").count() == 9 and pseudonyms.pseudonymised(none, "key").count() == 0
 
 
+NOTATIONS = [
+    ("4532 0151 1283 0366 12/27", "card", "4532 0151 1283 0366"),
+    ("4532015112830366 123", "card", "4532015112830366"),
+    ("qty 3 4532015112830366", "card", "4532015112830366"),
+    ("no. 3 4532 0151 1283 0366", "card", "4532 0151 1283 0366"),
+    ("3782 822463 10005.", "card", "3782 822463 10005"),
+    ("call 555-123-4567", "phone", "555-123-4567"),
+    ("call (555) 123-4567 or", "phone", "(555) 123-4567"),
+    ("+44 20 7946 0958", "phone", "20 7946 0958"),
+    ("+442079460958", "phone", "2079460958"),
+    ("GB82 WEST 1234 5698 7654 32 AND", "iban", "WEST 1234 5698 7654 32"),
+    ("born 12/05/1990", "slashed", "12/05/1990"),
+    ("born 31/12/1990", "slashed", "31/12/1990"),
+    ("from 2001:0db8:85a3:0000:0000:8a2e:0370:7334,", "ipv6", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"),
+    ("from fe80::1ff:fe23:4567:890a", "ipv6", "fe80::1ff:fe23:4567:890a"),
+]
+UNTOUCHED = ["at 12:30:45", "13/13/1990", "std::move", "1.2.3", "12-34-56", "100 200 3000", "GB83 WEST 1234 5698 7654 32", "29/02/2024", "3.14159"]
+
+
+def test_pseudonyms_of_common_notations(spark):
+    texts = [text for text, _, _ in NOTATIONS] + UNTOUCHED
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    made = pseudonyms.pseudonymised(table, "key")
+    rows = {r.doc_id: r for r in made.collect()}
+    shape = lambda x: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", x)))
+    for at, (text, kind, gone) in enumerate(NOTATIONS):
+        assert rows[at].kinds == kind and gone not in rows[at].text and shape(rows[at].text) == shape(text), text
+        start = text.index(gone)
+        # All but the value is as it was; an account number's check digits follow the number.
+        assert rows[at].text[start + len(gone):] == text[start + len(gone):]
+        assert kind == "iban" or rows[at].text[:start] == text[:start]
+    for at, text in enumerate(UNTOUCHED, len(NOTATIONS)):
+        assert rows[at].text == text and rows[at].n_found == 0
+    # One value, one pseudonym, however it is grouped.
+    digits = {re.sub(r"\D", "", rows[at].text)[-16:] for at in (2, 3)} | {re.sub(r"\D", "", rows[0].text)[:16], rows[1].text[:16]}
+    assert len(digits) == 1
+    assert re.sub(r"\D", "", rows[7].text) == rows[8].text[1:]
+    back = pseudonyms.pseudonymised(made.select("doc_id", "text"), "key", back=True)
+    assert {r.doc_id: r.text for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_slashed_dates_are_permuted_among_valid_dates(spark):
+    days = [f"{d}/{y}" for d in pseudonyms.MONTH_FIRST + pseudonyms.DAY_FIRST for y in (1999, 2000, 2001)]
+    made = [r.text for r in pseudonyms.pseudonymised(spark.createDataFrame(list(enumerate(days)), "doc_id int, text string"), "key").orderBy("doc_id").collect()]
+    assert len(set(made)) == len(days) and all((a[:2] > "12") == (b[:2] > "12") for a, b in zip(days, made))
+    assert all(x[:5] in set(pseudonyms.MONTH_FIRST + pseudonyms.DAY_FIRST) for x in made)
+
+
 def test_pipeline_stages(spark, docs, odd, none):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     table, library = docs, sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))

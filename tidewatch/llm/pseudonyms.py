@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,22 @@ FIRST_DAY = "1600-01-01"
 # so a long run is read once.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9A-Za-z])\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])",
+    # In one piece, or in groups of four, those after the bank's each with a digit.
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}"
+    r"| [A-Z0-9]{4}(?: (?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?: (?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    # With a country code in groups or in one piece, or ten digits in groups.
+    "phone": r"(?<![0-9A-Za-z])\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z+])\+(?:[0-9]{1,3}(?:[ .-](?:\([0-9]{1,4}\)|[0-9]{2,4})){2,4}|[0-9]{8,15})(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z.-])(?:\([0-9]{3}\) ?[0-9]{3}-|[0-9]{3}-[0-9]{3}-|[0-9]{3}\.[0-9]{3}\.)[0-9]{4}(?![0-9A-Za-z]|[.-][0-9])",
+    "ipv6": r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]{0,38}[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z]|-[0-9])",
+    "slashed": r"(?<![0-9A-Za-z/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9A-Za-z]|/[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "card": r"(?<![0-9A-Za-z-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|-[0-9])",
+    # As printed on cards, in one piece, or grouped otherwise if no such number follows in the same run of groups.
+    "card": r"(?<![0-9A-Za-z-])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19}"
+    r"|(?!(?:[0-9]{1,12}[ -]){1,18}?(?:[0-9]{13}|[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9])))[0-9](?:[ -]?[0-9]){12,18})(?![0-9A-Za-z]|-[0-9])",
 }
 CANDIDATE = "|".join(KINDS.values())
 
@@ -129,10 +141,31 @@ def _ssn(key: str, x: Column, back: bool) -> Column:
     return F.when(real, moved)
 
 
+# Days of a year of 365, by which of the two first numbers of a date with slashes is the month.
+_DAYS = [(date(1999, 1, 1) + timedelta(n)).strftime("%m %d").split() for n in range(365)]
+MONTH_FIRST = [f"{m}/{d}" for m, d in _DAYS]
+DAY_FIRST = [f"{d}/{m}" for m, d in _DAYS if d > "12"]
+
+
+def _slashed(key: str, x: Column, back: bool) -> Column:
+    """A first number above 12 is a day, else it is read as the month; the pseudonym reads alike."""
+    year, day = F.substring(x, 7, 4).cast("int"), F.substring(x, 1, 5)
+
+    def moved(kind: str, days: list[str]) -> Column:
+        known = F.array(*map(F.lit, days))
+        at = F.array_position(known, day)
+        pair = feistel(key, kind, F.pmod(year, F.lit(400)), at - 1, 400, len(days), back)
+        made = _let(pair, lambda s: F.concat(F.element_at(known, (s["r"] + 1).cast("int")), F.lit("/"), F.lpad((year - F.pmod(year, F.lit(400)) + s["l"]).cast("string"), 4, "0")))
+        return F.when(at > 0, made)
+
+    return F.when(F.substring(x, 1, 2) > "12", moved("day-first", DAY_FIRST)).otherwise(moved("month-first", MONTH_FIRST))
+
+
 def _phone(key: str, x: Column, back: bool) -> Column:
-    code = F.substring_index(x, " ", 1)
+    """The country code stays; in a number of one piece the first two digits, or a first 1 or 7."""
+    code = F.when(x.rlike(r"^\+[0-9]+$"), F.regexp_extract(x, r"^\+(?:[17]|[0-9]{2})", 0)).otherwise(F.regexp_extract(x, r"^(?:\+[0-9]{1,3})?", 0))
     rest = F.substring(x, F.length(code) + 1, F.length(x))
-    return F.concat(code, _put(rest, _numbers(key, "phone", _digits(rest), back)))
+    return F.when(F.length(_digits(x)) <= 18, F.concat(code, _put(rest, _numbers(key, "phone", _digits(rest), back))))
 
 
 def _iban_rest(x: Column) -> Column:
@@ -142,28 +175,28 @@ def _iban_rest(x: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), lambda n, c: F.when(c == "", n).otherwise((n * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c)) % 97).cast("int"))
 
 
-def _shifted(key: str, kind: str, turn: int, part: Column, other: Column, sign: int) -> Column:
+def _shifted(key: str, kind: str, turn: int, part: Column, other: Column, sign: int, letters: int) -> Column:
     """Letters and digits of a part moved within their kind by a keyed function of the other part."""
     stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), F.lit(str(turn)), other), 256)
 
     def moved(c: Column, i: Column) -> Column:
         by = sign * F.conv(F.substring(stream, 2 * F.pmod(i, F.lit(32)) + 1, F.lit(2)), 16, 10).cast("int") + sign * F.floor(i / 32).cast("int")
         spin = lambda base, n: F.char(F.pmod(F.ascii(c) - base + by, F.lit(n)) + base)
-        return F.when(c.rlike("^[a-z]$"), spin(97, 26)).when(c.rlike("^[A-Z]$"), spin(65, 26)).when(c.rlike("^[0-9]$"), spin(48, 10)).otherwise(c)
+        return F.when(c.rlike("^[a-z]$"), spin(97, letters)).when(c.rlike("^[A-Z]$"), spin(65, letters)).when(c.rlike("^[0-9]$"), spin(48, 10)).otherwise(c)
 
     return F.array_join(F.transform(F.split(part, ""), moved), "")
 
 
-def _letters(key: str, kind: str, x: Column, back: bool) -> Column:
-    """Any string of letters and digits permuted among those of its format."""
+def _letters(key: str, kind: str, x: Column, back: bool, letters: int = 26) -> Column:
+    """Any string of digits and of the first so many letters permuted among those of its format."""
     first = F.floor(F.length(x) / 2).cast("int")
     state = F.struct(F.substring(x, F.lit(1), first).alias("l"), F.substring(x, first + 1, F.length(x)).alias("r"))
     sign = -1 if back else 1
 
     def step(turn: int):
         if turn % 2:
-            return lambda s: F.struct(s["l"].alias("l"), _shifted(key, kind, turn, s["r"], s["l"], sign).alias("r"))
-        return lambda s: F.struct(_shifted(key, kind, turn, s["l"], s["r"], sign).alias("l"), s["r"].alias("r"))
+            return lambda s: F.struct(s["l"].alias("l"), _shifted(key, kind, turn, s["r"], s["l"], sign, letters).alias("r"))
+        return lambda s: F.struct(_shifted(key, kind, turn, s["l"], s["r"], sign, letters).alias("l"), s["r"].alias("r"))
 
     for turn in reversed(range(4)) if back else range(4):
         state = _let(state, step(turn))
@@ -171,13 +204,20 @@ def _letters(key: str, kind: str, x: Column, back: bool) -> Column:
 
 
 def _iban(key: str, x: Column, back: bool) -> Column:
-    country = F.substring(x, 1, 2)
-    body = F.substring(x, F.lit(5), F.length(x))
+    def made(plain: Column) -> Column:
+        country, body = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+
+        def checked(b: Column) -> Column:
+            return F.concat(country, F.lpad((98 - _iban_rest(F.concat(country, F.lit("00"), b))).cast("string"), 2, "0"), b)
+
+        return F.when(_iban_rest(plain) == 1, _let(_letters(key, "iban", body, back), checked))
+
+    found = _let(F.replace(x, F.lit(" "), F.lit("")), made)
+    return F.when(F.contains(x, F.lit(" ")), F.regexp_replace(found, "(.{4})(?=.)", "$1 ")).otherwise(found)
 
-    def checked(b: Column) -> Column:
-        return F.concat(country, F.lpad((98 - _iban_rest(F.concat(country, F.lit("00"), b))).cast("string"), 2, "0"), b)
 
-    return F.when(_iban_rest(x) == 1, _let(_letters(key, "iban", body, back), checked))
+def _ipv6(key: str, x: Column, back: bool) -> Column:
+    return _letters(key, "ipv6", x, back, 6)
 
 
 def _email(key: str, x: Column, back: bool) -> Column:
@@ -185,7 +225,7 @@ def _email(key: str, x: Column, back: bool) -> Column:
     return F.concat(_letters(key, "email", name, back), F.substring(x, F.length(name) + 1, F.length(x)))
 
 
-MAKERS = {"email": _email, "iban": _iban, "phone": _phone, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card}
+MAKERS = {"email": _email, "iban": _iban, "phone": _phone, "ipv6": _ipv6, "ip": _ip, "date": _date, "slashed": _slashed, "ssn": _ssn, "card": _card}
 
 
 def pseudonym(x: Column, key: str, back: bool = False) -> Column:
@@ -202,9 +242,14 @@ def pseudonym(x: Column, key: str, back: bool = False) -> Column:
 def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
     """(doc_id, text, n_found, kinds): whole texts with pseudonyms, how many there are and of which kinds, in order.
 
-    Card numbers must pass the Luhn check, account numbers their mod-97 check,
-    addresses, dates and social security numbers their ranges; what fails stays
-    as it is. Pseudonyms pass the same checks and keep length, separators,
+    Card numbers (in fours, 4-6-5, in one piece or in other groups) must pass the
+    Luhn check, account numbers (in one piece or in fours) their mod-97 check,
+    IPv4 addresses, dates (2024-02-29, 12/05/1990) and social security numbers
+    their ranges; what fails stays as it is. Phone numbers have a country code,
+    or ten digits with dashes, dots or a bracketed area; IPv6 addresses eight
+    groups or a gap, and a digit. A date with slashes isn't linked to other
+    notations, and 29 February stays in it. Of groups that might be two
+    cards the first four are tried. Pseudonyms pass the same checks and keep length, separators,
     country and mail domain. Under one key a value has one pseudonym in all
     documents, different values have different ones, and `back` restores the
     texts. Null text stays null (no finds); ids may be null, rows may repeat,
