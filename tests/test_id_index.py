@@ -91,6 +91,32 @@ def test_large_buckets_have_several_filter_rows(spark, tmp_path, monkeypatch):
     assert index.candidates(probe).join(probe, "id").count() == 100
 
 
+def test_a_filter_row_meets_only_ids_of_its_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(id_index, "ROW_IDS", 16)
+    monkeypatch.setattr(id_index, "PROBE_IDS", 64)
+    index = IdIndex(str(tmp_path))
+    for batch, size in enumerate((400, 3200)):
+        values = spark.range(size).select(F.concat(F.lit(f"{batch}-"), F.col("id")).alias("id"))
+        index.write(values, run_name("s", batch))
+        filters, hashed = index.dealt(values)
+        key = ["level", "bucket", "slice"]
+        # Each id is sent once for each size of runs, and no group grows with the batch.
+        assert hashed.count() == size * filters.select("level").distinct().count()
+        assert hashed.groupBy(*key).count().agg(F.max("count")).first()[0] < 100
+        assert filters.groupBy(*key).count().agg(F.max("count")).first()[0] <= 2
+        assert (run_name("s", batch), 0) in index.hits(values)
+
+
+def test_many_runs_are_probed_in_slices(spark, tmp_path, monkeypatch):
+    index = IdIndex(str(tmp_path))
+    known = many_runs(spark, index, 40, 5)
+    asked = ids(spark, [*known[::7], "new"])
+    found = index.hits(asked)
+    monkeypatch.setattr(id_index, "PROBE_RUNS", 4)
+    assert index.dealt(asked)[1].select("slice").distinct().count() == 16
+    assert index.hits(asked) == found and {run for run, _ in found} >= {run_name("s", i // 5) for i in range(0, 200, 7)}
+
+
 def test_filters_miss_nothing_and_seldom_err():
     dice = np.random.default_rng(2)
     h1, h2 = dice.integers(-(2**63), 2**63 - 1, (2, 5000))

@@ -14,7 +14,6 @@ before its filters, and removed after them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Filter rows and a batch's ids meet by this many buckets of the hash; a power of two, as are parts and files.
+# A batch of few ids is probed in up to this many buckets of the hash; a power of two, as are parts and files.
 BUCKETS = 64
 BITS_PER_ID = 24
 LEAST_BITS = 1024
@@ -31,8 +30,9 @@ HASHES = 12
 # Ids of one filter row and of one file at most, about.
 ROW_IDS = 1 << 12
 FILE_IDS = 1 << 18
-# Ids of a batch that are probed together, about.
+# Ids of a batch, and runs, that are probed together, about.
 PROBE_IDS = 1 << 14
+PROBE_RUNS = 1 << 9
 
 FILTER_SCHEMA = "part BIGINT, parts BIGINT, files BIGINT, ids BIGINT, bits BINARY, run STRING"
 
@@ -62,19 +62,17 @@ def _row_filter(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(values, columns=["part", "parts", "files", "ids", "bits"])
 
 
-def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(run, file) of every pair of a filter row and some ids of which one may be in it."""
-    for batch in batches:
-        hits = []
-        for row in batch.to_pylist():
-            h1, h2 = np.array(row["h1"], np.int64), np.array(row["h2"], np.int64)
-            mine = h2 % row["parts"] == row["part"]
-            bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8))
-            if mine.any() and bits[_places(h1[mine], h2[mine], len(bits)).astype(np.int64)].all(axis=1).any():
-                hits.append((row["run"], row["part"] % row["files"]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([h[0] for h in hits], pa.string()), pa.array([h[1] for h in hits], pa.int64())], names=["run", "file"]
-        )
+def _probe(filters: pa.Table, ids: pa.Table) -> pa.Table:
+    """(run, file) of the filter rows of a bucket that may hold one of the bucket's ids."""
+    h1, h2 = ids["h1"].to_numpy(), ids["h2"].to_numpy()
+    columns = [filters[name] for name in ("run", "part", "files", "bits")]
+    hits = []
+    for i in range(filters.num_rows if len(h1) else 0):
+        run, part, files, packed = (column[i].as_py() for column in columns)
+        bits = np.unpackbits(np.frombuffer(packed, np.uint8))
+        if bits[_places(h1, h2, len(bits)).view(np.int64)].all(axis=1).any():
+            hits.append((run, part % files))
+    return pa.table({"run": pa.array([h[0] for h in hits], pa.string()), "file": pa.array([h[1] for h in hits], pa.int64())})
 
 
 def run_name(stream_id: str, first: int, end: int | None = None) -> str:
@@ -118,8 +116,8 @@ class IdIndex:
         written = spark.read.schema("id STRING").parquet(self.ids_path(run))
         about = {"part": F.pmod("h2", F.lit(parts)), "parts": F.lit(parts).cast("long"), "files": F.lit(files).cast("long")}
         filters = _hashed(written).withColumns(about).groupBy("part").applyInPandas(_row_filter, FILTER_SCHEMA.rsplit(", run", 1)[0])
-        # One file, so that the run's filters appear as a whole.
-        filters.coalesce(1).write.mode("overwrite").parquet(self.filters_path(run))
+        # One file, so that the run's filters appear as a whole; many tasks make them.
+        filters.repartition(1).write.mode("overwrite").parquet(self.filters_path(run))
 
     def remove(self, spark: SparkSession, run: str) -> None:
         for path in (self.filters_path(run), self.ids_path(run)):
@@ -128,29 +126,42 @@ class IdIndex:
             if files.exists(place) and not files.delete(place, True):
                 raise OSError(f"could not remove {path}")
 
-    def hits(self, ids: DataFrame, skip: str | None = None) -> list[tuple[str, int]]:
-        """The (run, file) that may hold one of `ids`, `skip`'s left out.
+    def dealt(self, ids: DataFrame, skip: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """The filter rows (run, part, files, bits) and the hashes of `ids` (h1, h2), both by (level, bucket, slice).
 
-        Filter rows meet the batch's ids of their buckets, packed some
-        thousands to a row; a filter of few parts goes to several buckets and
-        is small then. What is collected is a part of the list of files that
-        reading the table would list anyway.
+        A filter row meets only ids of its part. Ids are dealt to as many
+        buckets as the run has parts, for runs of few parts to so many that
+        some thousands are in each; a filter of fewer parts goes to several
+        buckets and is small then. Many runs are dealt to slices. So a bucket
+        holds no more ids or filter rows when batches or runs grow, and an id
+        is sent once for each size of runs.
         """
-        spark = ids.sparkSession
-        filters = spark.read.schema(FILTER_SCHEMA).parquet(self.filters_path())
+        filters = ids.sparkSession.read.schema(FILTER_SCHEMA).parquet(self.filters_path())
         if skip is not None:
             filters = filters.where(F.col("run") != skip)
-        first = F.pmod("part", F.lit(BUCKETS))
-        step = F.least("parts", F.lit(BUCKETS))
-        filters = filters.withColumn("bucket", F.explode(F.sequence(first, F.lit(BUCKETS - 1).cast("long"), step)))
-        hashed = _hashed(ids.where(F.col("id").isNotNull())).withColumn("bucket", F.pmod("h2", F.lit(BUCKETS)).cast("long"))
-        chunks = max(1, -(-ids.count() // (BUCKETS * PROBE_IDS)))
-        packed = hashed.groupBy("bucket", F.pmod(F.shiftright("h2", 8), F.lit(chunks)).alias("chunk"))
-        packed = packed.agg(F.collect_list(F.struct("h1", "h2")).alias("hashes"))
-        packed = packed.select("bucket", F.col("hashes.h1").alias("h1"), F.col("hashes.h2").alias("h2"))
-        found = filters.join(packed, "bucket").select("run", "part", "parts", "files", "bits", "h1", "h2")
-        rows = found.mapInArrow(_probe, "run STRING, file BIGINT").distinct().collect()
-        return sorted((row.run, row.file) for row in rows)
+        ids = ids.where(F.col("id").isNotNull())
+        rows = ids.count()
+        least = max(_power(rows, PROBE_IDS), min(BUCKETS, _power(rows, ROW_IDS)))
+        slices = _power(len(self.runs(ids.sparkSession)), PROBE_RUNS)
+        filters = filters.withColumn("level", F.greatest("parts", F.lit(least).cast("long")))
+        levels = [row.level for row in filters.select("level").distinct().collect()]
+        bucket = F.explode(F.sequence("part", F.col("level") - 1, "parts")).alias("bucket")
+        by_slice = F.pmod(F.xxhash64("run"), F.lit(slices).cast("long")).alias("slice")
+        filters = filters.select("run", "part", "files", "bits", "level", bucket, by_slice)
+        hashed = _hashed(ids).select("h1", "h2", F.explode(F.lit(levels).cast("array<long>")).alias("level"))
+        every_slice = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice")
+        return filters, hashed.select("h1", "h2", "level", F.pmod("h2", "level").alias("bucket"), every_slice)
+
+    def hits(self, ids: DataFrame, skip: str | None = None) -> list[tuple[str, int]]:
+        """The (run, file) that may hold one of `ids`, `skip`'s left out.
+
+        What is collected is a part of the list of files that reading the
+        table would list anyway.
+        """
+        key = ["level", "bucket", "slice"]
+        filters, hashed = (rows.groupBy(*key) for rows in self.dealt(ids, skip))
+        found = filters.cogroup(hashed).applyInArrow(_probe, "run STRING, file BIGINT")
+        return sorted((row.run, row.file) for row in found.distinct().collect())
 
     def candidates(self, ids: DataFrame, skip: str | None = None) -> DataFrame:
         """Known ids among which all known ones of `ids` are: those of the files that `hits` names."""
