@@ -7,7 +7,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +18,7 @@ FAN = 64
 SPACE = "▁"
 NEVER = float("-inf")
 CACHE = 400_000
+HEAD = 4
 SPACED = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 # A boundary state is the piece that covers the last character before the
@@ -46,6 +46,11 @@ class Vocabulary:
         self.names = {p: p for p in self.ids}
         self.scores = {p: scores[i] for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids), default=1)
+        # Pieces by their first four characters, and of each start met the valid pieces there, longest first.
+        self.heads: dict[str, list[str]] = {}
+        for p in self.ids:
+            self.heads.setdefault(p[:HEAD], []).append(p)
+        self.starts: dict[str, tuple[str, ...]] = {}
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
         inner = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.inner = inner
@@ -144,34 +149,44 @@ class Vocabulary:
                 found.append(self.unknown)
         return found
 
+    def starting(self, head: str) -> tuple[str, ...]:
+        """The valid pieces a text may begin with whose first characters are `head`, longest first, and its first character."""
+        found = self.heads.get(head, []) if len(head) == HEAD else []
+        found = found + [self.names[head[:n]] for n in range(2, min(len(head) + 1, HEAD)) if head[:n] in self.names]
+        first = self.names.get(head[0], head[0])
+        if len(self.starts) >= CACHE:
+            self.starts.clear()
+        ordered = sorted((p for p in found if len(p) > 1 and self.valid(p)), key=len, reverse=True)
+        self.starts[head] = (*ordered, first)
+        return self.starts[head]
+
     def walk(self, text: str) -> list[str]:
         """The path of weight 0 through a text between cuts: longest pieces first, and back from dead ends."""
         path, dead, at, stop = [], set(), 0, len(text)
-        names, pairs, longest = self.names, self.pairs, self.longest
-        size = min(longest, stop)
+        starts, pairs = self.starts, self.pairs
+        most, last = stop, ""
         while at < stop:
-            while size:
-                part = text[at : at + size]
-                piece = names.get(part)  # one string for each piece, however many pairs hold it
-                if piece is None and size == 1:
-                    piece = part
-                if piece is not None and (size == 1 or self.valid(piece)):
-                    if not path:
+            head = text[at : at + HEAD]
+            # One string stands for each piece, however many pairs hold it.
+            for piece in starts.get(head) or self.starting(head):
+                if text.startswith(piece, at) and len(piece) <= most:
+                    if not last:
                         break
-                    if (fits := pairs.get((path[-1], piece))) is None:
-                        fits = self.follows(path[-1], piece)
+                    if (fits := pairs.get((last, piece))) is None:
+                        fits = self.follows(last, piece)
                     if fits and not (dead and (at, piece) in dead):
                         break
-                size -= 1
-            if size:
-                path.append(piece)
-                at += size
-                size = min(longest, stop - at)
             else:
                 piece = path.pop()
+                last = path[-1] if path else ""
                 at -= len(piece)
                 dead.add((at, piece))
-                size = len(piece) - 1
+                most = len(piece) - 1
+                continue
+            path.append(piece)
+            last = piece
+            at += len(piece)
+            most = stop
         return path
 
     def best(self, text: str) -> list[str]:
@@ -208,7 +223,12 @@ class Vocabulary:
                     if (found := bare.get(word)) is None:
                         if len(bare) >= CACHE:
                             bare.clear()
-                        found = bare[word] = tuple(self.to_ids(self.best(SPACE + word)))
+                        # A last character no piece joins to the one before is a segment of its own.
+                        stem = word[:-1] if word[-2:] not in self.inner and len(word) > 1 else word
+                        if (found := bare.get(stem)) is None:
+                            found = bare[stem] = tuple(self.to_ids(self.best(SPACE + stem)))
+                        if stem is not word:
+                            found = bare[word] = found + self.segment(word[-1])
                     out += found
         return out
 
@@ -376,41 +396,34 @@ def encode_whole(v: Vocabulary, text: str) -> list[int]:
     return backtrace(v, text, 0, len(text), START, max(row, key=row.get))
 
 
-def _product(group: pd.DataFrame) -> pd.DataFrame:
+def _product(matrices: list[dict]) -> list[dict]:
     """One matrix of consecutive ones."""
-    group = group.sort_values("no")
-    found = None
-    for cells in group["cells"]:
-        found = unpack(cells) if found is None else times(found, unpack(cells))
-    first = group.iloc[0]
-    return pd.DataFrame({"key": [first["key"]], "no": [first["up"]], "cells": [pack(found)]})
-
-
-def _states(group: pd.DataFrame) -> pd.DataFrame:
-    """The state at each end of each of a parent's matrices, on the best path between the parent's two states."""
-    group = group.sort_values("no")
-    first = group.iloc[0]
-    here = {(int(first["a"]), int(first["b"])): 0.0}
+    found = unpack(matrices[0]["cells"])
+    for x in matrices[1:]:
+        found = times(found, unpack(x["cells"]))
+    return pack(found)
+
+
+def _states(matrices: list[dict], first: tuple[int, int], at: tuple[int, int]) -> list[tuple[int, ...]]:
+    """The states (a, b, c, d) at both ends of each of a parent's matrices, on the best path between the parent's two states."""
+    here = {first: 0.0}
     steps = []
-    for cells in group["cells"]:
+    for x in matrices:
         came: dict = {}
-        for s, row in unpack(cells).items():
+        for s, row in unpack(x["cells"]).items():
             if s in here:
                 for e, w in row.items():
                     if here[s] + w > came.get(e, (NEVER,))[0]:
                         came[e] = (here[s] + w, s)
         steps.append(came)
         here = {e: w for e, (w, _) in came.items()}
-    at = (int(first["c"]), int(first["d"]))
-    if first["c"] > 0:  # the last matrix of a document: its best end
+    if at[0] > 0:  # the last matrix of a document: its best end
         at = max(here, key=here.get)
     ends = []
     for came in reversed(steps):
         ends.append((*came[at][1], *at))
         at = came[at][1]
-    ends = ends[::-1]
-    out = pd.DataFrame(ends, columns=["a", "b", "c", "d"])
-    return pd.DataFrame({"key": group["key"].to_numpy(), "no": group["no"].to_numpy()}).join(out)
+    return ends[::-1]
 
 
 def encode(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS, fan: int = FAN) -> DataFrame:
@@ -463,17 +476,34 @@ def encode(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     schema = pa.schema([("key", pa.int64()), ("no", pa.int64()), ("window", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("cells", pa.list_(cell))])
     spread = long.select("key", "text").repartition("key")
     chunks = stored(spread.mapInArrow(cut, f"key long, no long, window string, start int, stop int, cells {CELL}"), "chunks")
+    def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [_product(x.as_py()) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, schema.field("cells").type)], names=["key", "no", "cells"])
+
+    def entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for x in batch.to_pylist():
+                states = _states(x["matrices"], (x["a"], x["b"]), (x["c"], x["d"]))
+                rows += [(x["key"], m["no"], *s) for m, s in zip(x["matrices"], states, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), borders, strict=True)], schema=borders) if rows else borders.empty_table().to_batches()[0]
+
+    borders = pa.schema([("key", pa.int64()), ("no", pa.int64()), *[(x, pa.int32()) for x in "abcd"]])
+    # A parent's matrices in one row, `fan` at most.
+    matrices = F.array_sort(F.collect_list(F.struct("no", "cells"))).alias("matrices")
+    up = F.floor(F.col("no") / fan).cast("long").alias("up")
     levels = [chunks.select("key", "no", "cells")]
     most = chunks.agg(F.max("no")).first()[0] + 1
     while most > 1:
-        grouped = levels[-1].withColumn("up", F.floor(F.col("no") / fan).cast("long")).groupBy("key", "up")
-        levels.append(stored(grouped.applyInPandas(_product, f"key long, no long, cells {CELL}"), "products"))
+        grouped = levels[-1].groupBy("key", up).agg(matrices).select("key", "up", "matrices")
+        levels.append(stored(grouped.mapInArrow(multiplied, f"key long, no long, cells {CELL}"), "products"))
         most = -(-most // fan)
     border = [F.lit(x).alias(n) for n, x in (("a", 0), ("b", 0), ("c", 1), ("d", 0))]
     states = levels[-1].select("key", F.col("no").alias("up"), *border)
     for level in reversed(levels[:-1]):
-        below = level.withColumn("up", F.floor(F.col("no") / fan).cast("long")).join(states, ["key", "up"])
-        states = below.groupBy("key", "up").applyInPandas(_states, "key long, no long, a int, b int, c int, d int")
+        below = level.groupBy("key", up).agg(matrices).join(states, ["key", "up"])
+        states = below.mapInArrow(entered, "key long, no long, a int, b int, c int, d int")
         states = stored(states, "states").withColumnRenamed("no", "up")
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
